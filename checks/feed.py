@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fabpulse.functions.rules import lookup
 from fabpulse.operators.gold import fact_rows
 from fabpulse.operators.silver import refine, type_readings
-from fabpulse.sources.dimensions import dim_date, seed_dimensions
+from fabpulse.sources.dimensions import seed_dimensions
 
 SENSOR_OF_EVENT = {
     "click": "temperature", "view": "vibration", "purchase": "pressure", "signup": "power",
@@ -22,8 +22,14 @@ ALARM_OF_EVENT = {
 }
 
 
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,"
+    " props STRING"
+)
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def messages(events: DataFrame) -> DataFrame:
@@ -64,8 +70,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star schema over the feed."""
-    tables = {**seed_dimensions(spark), "dim_date": dim_date(spark)}
+    """The star schema over the feed, without the calendar."""
+    tables = seed_dimensions(spark)
     tables["fact_sensor_readings"] = fact_rows(
         silver(spark, sf_dir), tables["dim_machine"], tables["dim_sensor"]
     )

@@ -75,7 +75,7 @@ def landed(spark: SparkSession, sf_dir: str) -> Layout:
 def payload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as a stream of payloads."""
     events = (
-        spark.readStream.schema(feed.read_events(spark, sf_dir).schema)
+        spark.readStream.schema(feed.EVENTS)
         .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
     return feed.payloads(events)
@@ -333,6 +333,7 @@ def table_row_counts(spark, sf_dir):
         "bronze": feed.messages(feed.read_events(spark, sf_dir)),
         "silver": feed.silver(spark, sf_dir),
         **tables,
+        "dim_date": dim_date(spark),
         "hourly_machine_summary": summary,
         "anomaly_log": None,
     })
@@ -344,9 +345,10 @@ def _loaders(sf_dir: str):
         tables = feed.gold(spark, sf_dir)
         return hourly_rollup(tables["fact_sensor_readings"], tables["dim_sensor"])
 
-    names = ("fact_sensor_readings", "dim_machine", "dim_sensor", "dim_location", "dim_date")
+    names = ("fact_sensor_readings", "dim_machine", "dim_sensor", "dim_location")
     return {
         **{name: lambda spark, name=name: feed.gold(spark, sf_dir)[name] for name in names},
+        "dim_date": dim_date,
         "hourly_machine_summary": summary,
     }
 

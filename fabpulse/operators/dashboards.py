@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fabpulse.config import ANOMALY_ROWS, ANOMALY_THRESHOLDS, DASHBOARD_ROWS
 from fabpulse.functions.rules import percent, rounded, threshold_status
+from fabpulse.schemas import PARTITION_DAY
 
 # Output columns, by name.
 COLUMNS = {
@@ -51,12 +52,14 @@ def anomalies(fact: DataFrame, limit: int = ANOMALY_ROWS) -> DataFrame:
     return newest(fact.filter("is_anomaly"), columns, limit)
 
 
-def machine_totals(fact: DataFrame) -> DataFrame:
-    """One row per machine and sensor, which both aggregate datasets are made from."""
+def day_totals(fact: DataFrame) -> DataFrame:
+    """One row per day, machine and sensor: what the aggregate datasets are made from."""
+    day = F.col(PARTITION_DAY) if PARTITION_DAY in fact.columns else F.to_date("reading_ts")
     return fact.groupBy(
-        F.col("machine_id").alias("machine"), F.col("sensor_type").alias("sensor")
+        day.alias("day"), F.col("machine_id").alias("machine"), F.col("sensor_type").alias("sensor"),
     ).agg(
-        F.avg("reading_value").alias("avg_value"),
+        F.sum("reading_value").alias("value_sum"),
+        F.count("reading_value").alias("value_count"),
         F.max("reading_value").alias("max_value"),
         F.min("reading_value").alias("min_value"),
         F.count(F.lit(1)).alias("total_readings"),
@@ -64,6 +67,17 @@ def machine_totals(fact: DataFrame) -> DataFrame:
     )
 
 
+def machine_totals(days: DataFrame) -> DataFrame:
+    """One row per machine and sensor, from the day totals."""
+    return days.groupBy("machine", "sensor").agg(
+        F.try_divide(F.sum("value_sum"), F.sum("value_count")).alias("avg_value"),
+        F.max("max_value").alias("max_value"),
+        F.min("min_value").alias("min_value"),
+        F.sum("total_readings").alias("total_readings"),
+        F.sum("anomaly_count").alias("anomaly_count"),
+    )
+
+
 def machine_summary(totals: DataFrame) -> DataFrame:
     return totals.select(
         "machine", "sensor",

@@ -2,74 +2,90 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Mapping
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.config import ANOMALY_ROWS, ANOMALY_THRESHOLDS, DASHBOARD_ROWS
 from fabpulse.layout import Layout
 from fabpulse.operators.dashboards import (
-    anomalies, anomaly_rate, export_stats, live_readings, machine_summary, machine_totals,
-    sensor_readings,
+    anomalies, anomaly_rate, day_totals, export_stats, live_readings, machine_summary,
+    machine_totals, sensor_readings,
 )
 from fabpulse.schemas import PARTITION_DAY
 from fabpulse.session import settle
 from fabpulse.sinks.files import write_dashboard
 from fabpulse.sources.tables import read_table
 
-# Days looked at, one span after the other, before the whole table is.
-SPANS = (1, 8, 64, 512)
-
-
-def newest_days(fact: DataFrame, limit: int) -> DataFrame:
-    """The last days of a day-partitioned table that together hold `limit` rows.
-
-    The newest `limit` rows are among them: any other row is older, or has no time. The
-    whole table when even the longest span holds fewer.
-    """
-    last = fact.agg(F.max(PARTITION_DAY)).first()[0]
-    if last is not None:
-        for span in SPANS:
-            recent = fact.filter(F.col(PARTITION_DAY) > F.lit(last - timedelta(days=span)))
-            if recent.limit(limit).count() == limit:
-                return recent
-    return fact
+# How many newest rows each listing shows.
+LISTINGS = {
+    **dict.fromkeys(ANOMALY_THRESHOLDS, DASHBOARD_ROWS),
+    "live_readings": DASHBOARD_ROWS,
+    "anomalies": ANOMALY_ROWS,
+}
 
 
 def datasets(fact: DataFrame) -> dict[str, DataFrame]:
     """All eight datasets of a fact DataFrame."""
-    return {**_newest(fact), **_aggregates(machine_totals(fact))}
+    return _datasets(dict.fromkeys(LISTINGS, fact), day_totals(fact))
 
 
-def _newest(fact: DataFrame, narrow=lambda readings, limit: readings) -> dict[str, DataFrame]:
-    by_sensor = {
-        sensor: sensor_readings(
-            narrow(fact.filter(F.col("sensor_type") == sensor), DASHBOARD_ROWS), sensor
-        )
-        for sensor in ANOMALY_THRESHOLDS
-    }
+def _datasets(facts: Mapping[str, DataFrame], days: DataFrame) -> dict[str, DataFrame]:
+    totals = machine_totals(days)
     return {
-        **by_sensor,
-        "live_readings": live_readings(narrow(fact, DASHBOARD_ROWS)),
-        "anomalies": anomalies(narrow(fact.filter("is_anomaly"), ANOMALY_ROWS)),
+        **{sensor: sensor_readings(facts[sensor], sensor) for sensor in ANOMALY_THRESHOLDS},
+        "live_readings": live_readings(facts["live_readings"]),
+        "anomalies": anomalies(facts["anomalies"]),
+        "machine_summary": machine_summary(totals),
+        "anomaly_rate": anomaly_rate(totals),
     }
 
 
-def _aggregates(totals: DataFrame) -> dict[str, DataFrame]:
-    return {"machine_summary": machine_summary(totals), "anomaly_rate": anomaly_rate(totals)}
+def first_days(days: DataFrame) -> dict[str, date | None]:
+    """For each listing, the latest day from which on there are enough rows to fill it.
+
+    All rows of earlier days are older, and rows without a day come last, so the listing
+    needs none of them. None where the whole table holds too few rows.
+    """
+    counted: dict[str, Column] = {
+        sensor: F.when(F.col("sensor") == sensor, F.col("total_readings"))
+        for sensor in ANOMALY_THRESHOLDS
+    }
+    counted["live_readings"] = F.col("total_readings")
+    counted["anomalies"] = F.col("anomaly_count")
+    # One row per day of the calendar, however many readings there are.
+    per_day = (
+        days.filter(F.col("day").isNotNull()).groupBy("day")
+        .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(name) for name, n in counted.items()])
+        .orderBy(F.desc("day")).collect()
+    )
+    firsts: dict[str, date | None] = dict.fromkeys(LISTINGS)
+    for name, limit in LISTINGS.items():
+        rows = 0
+        for row in per_day:
+            rows += row[name]
+            if rows >= limit:
+                firsts[name] = row["day"]
+                break
+    return firsts
 
 
 def build_dashboards(spark: SparkSession, layout: Layout) -> dict[str, dict[str, int | None]]:
     """Write the datasets of the stored fact table; returns rows and anomalies of each.
 
-    The newest rows come from the last day partitions only. The totals per machine and
-    sensor are computed once for both aggregates.
+    The table is scanned once, for the day totals. These give both aggregates, and the
+    day partitions to which each listing of newest rows can confine itself.
     """
     fact = read_table(spark, layout, "fact_sensor_readings")
-    written = {**_newest(fact, newest_days), **_aggregates(settle(machine_totals(fact)))}
+    days = settle(day_totals(fact))
+    facts = {
+        name: fact if first is None else fact.filter(F.col(PARTITION_DAY) >= F.lit(first))
+        for name, first in first_days(days).items()
+    }
     stats = {}
-    for name, dataset in written.items():
+    for name, dataset in _datasets(facts, days).items():
         write_dashboard(dataset, layout.dashboards, name)
         stored = spark.read.schema(dataset.schema).json(f"{layout.dashboards}/{name}")
         row = export_stats(name, stored).first()

@@ -1,22 +1,32 @@
-"""Small fixed tables as literals, whose size the planner knows."""
+"""Small fixed tables as local relations, whose size the planner knows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+ARROW_TYPES = {
+    T.IntegerType(): pa.int32(),
+    T.StringType(): pa.string(),
+    T.DoubleType(): pa.float64(),
+    T.BooleanType(): pa.bool_(),
+    T.DateType(): pa.date32(),
+    T.TimestampType(): pa.timestamp("us", "UTC"),
+}
+
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    def as_struct(values: Sequence) -> Column:
-        return F.struct(*[
-            F.lit(value).cast(field.dataType).alias(field.name)
-            for value, field in zip(values, schema.fields, strict=True)
-        ])
+    """A DataFrame of a few rows given in the code.
 
-    one = spark.range(0, 1, numPartitions=1)
-    if not rows:
-        return one.filter(F.lit(False)).select(F.inline(F.array(as_struct([None] * len(schema)))))
-    return one.select(F.inline(F.array(*map(as_struct, rows))))
+    Passed as Arrow it becomes a local relation. As a list it would be an RDD of unknown
+    size, and a join with it would shuffle the large side.
+    """
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    table = pa.table({
+        field.name: pa.array(values, ARROW_TYPES[field.dataType])
+        for field, values in zip(schema.fields, columns, strict=True)
+    })
+    return spark.createDataFrame(table, schema)

@@ -1,0 +1,243 @@
+import json
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import land, message, rows
+from fabpulse.operators.checks import constraint_violations, table_row_counts
+from fabpulse.plans import dashboards
+from fabpulse.plans.batch import run_batch, stored_row_counts
+from fabpulse.plans.dashboards import build_dashboards, datasets
+from fabpulse.plans.gold import build_gold
+from fabpulse.plans.hourly import run_hourly
+from fabpulse.plans.reports import REPORTS, run_business_queries
+from fabpulse.plans.silver import build_silver
+from fabpulse.operators.dashboards import day_totals
+from fabpulse.sources.bronze import has_input, read_bronze
+from fabpulse.sources.dimensions import dim_date, seed_dimensions
+from fabpulse.sources.tables import read_silver, read_table
+
+LOADED = datetime(2024, 2, 1)
+
+
+@pytest.fixture
+def landed(lake):
+    land(lake, "2024-01-15",
+         message("a", value="95.5", status="HIGH"),
+         message("b", sensor="vibration", value="20", status="NORMAL"),
+         message("c", value="n/a"),
+         message("d", machine="MACHINE_99"),
+         message("e", ts="bad"),
+         message(None), message(None),
+         "{bad json")
+    land(lake, "2024-01-16",
+         message("a", value="95.5", status="HIGH", ts="2024-01-15T10:00:01+00:00"),
+         message("f", sensor="humidity", value="1000"),
+         message("g", ts="2024-01-16T23:30:00+00:00", status=None))
+    return lake
+
+
+def stored(folder):
+    """All JSON lines below a folder, sorted."""
+    files = Path(folder).rglob("*.json")
+    return sorted(line for f in files for line in f.read_text().splitlines())
+
+
+def test_no_input(spark, lake):
+    assert not has_input(spark, lake.bronze)
+    assert run_batch(spark, lake) == {}
+    land(lake, "2024-01-15", message())
+    assert has_input(spark, lake.bronze)
+
+
+def test_bronze_prunes_arrival_days(spark, landed):
+    day = read_bronze(spark, landed.bronze, [date(2024, 1, 16)])
+    assert day.count() == 3
+    assert len(rows(day.select("_metadata.file_path").distinct(), "file_path")) == 1
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "make_date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_silver_and_quarantine(spark, landed):
+    metrics = build_silver(spark, landed, now=LOADED)
+    assert metrics == {"input_rows": 11, "quarantined": 4, "undated": 1, "silver_rows": 6,
+                       "partitions": 2, "duplicates": 1}
+    silver = read_silver(spark, landed.silver)
+    assert rows(silver, "message_id", "reading_value", "is_anomaly", "shift", "month", "day") == [
+        ("a", 95.5, True, "morning", 1, 15), ("b", 20.0, True, "morning", 1, 15),
+        ("d", 50.0, False, "morning", 1, 15), ("e", 50.0, False, "night", 1, 15),
+        ("f", 1000.0, False, "morning", 1, 16), ("g", 50.0, False, "night", 1, 16)]
+    assert {r[0] for r in silver.select("_ingested_at").collect()} == {LOADED}
+    rejected = [json.loads(line) for line in stored(landed.quarantine)]
+    assert sorted(str(r.get("message_id")) for r in rejected) == ["None", "None", "None", "c"]
+    assert "{bad json" in [r.get("_corrupt_record") for r in rejected]
+
+
+def test_running_twice_changes_nothing(spark, landed):
+    def state():
+        return (
+            rows(read_silver(spark, landed.silver).drop("_ingested_at"), "*"),
+            rows(read_table(spark, landed, "fact_sensor_readings"), "*"),
+            stored(landed.quarantine),
+        )
+
+    build_silver(spark, landed, now=LOADED)
+    assert build_gold(spark, landed, loaded_at=LOADED) == {
+        "dim_machine": 5, "dim_sensor": 4, "dim_location": 3, "dim_date": 1096,
+        "fact_sensor_readings": 4}
+    before = state()
+    build_silver(spark, landed, now=LOADED)
+    assert set(build_gold(spark, landed).values()) == {0}
+    assert state() == before
+
+
+def test_shuffle_partitions_do_not_matter(spark, landed, tmp_path):
+    results = []
+    for partitions in ("1", "7"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            build_silver(spark, landed, now=LOADED)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        results.append(rows(read_silver(spark, landed.silver), "*"))
+    assert results[0] == results[1]
+
+
+def test_only_partitions_of_the_batch_are_replaced(spark, landed):
+    build_silver(spark, landed, now=LOADED)
+    land(landed, "2024-01-16", message("h"))
+    metrics = build_silver(spark, landed, [date(2024, 1, 16)], now=datetime(2024, 3, 1))
+    assert metrics["partitions"] == 1 and metrics["silver_rows"] == 4
+    times = read_silver(spark, landed.silver).groupBy("day", "_ingested_at").count()
+    assert rows(times, "day", "_ingested_at") == [
+        (15, LOADED), (16, datetime(2024, 3, 1))]
+
+
+def test_a_batch_of_rejects_only(spark, lake):
+    land(lake, "2024-01-15", message("a", value="x"), "{bad json")
+    metrics = build_silver(spark, lake)
+    assert (metrics["quarantined"], metrics["silver_rows"], metrics["partitions"]) == (2, 0, 0)
+    assert len(stored(lake.quarantine)) == 2
+
+
+def test_hourly_upsert(spark, landed):
+    build_silver(spark, landed)
+    build_gold(spark, landed)
+    assert run_hourly(spark, landed, date(2024, 3, 1)) == 0
+    for _ in range(2):
+        assert run_hourly(spark, landed, date(2024, 1, 15)) == 2
+        assert run_hourly(spark, landed, date(2024, 1, 16)) == 1
+    summary = read_table(spark, landed, "hourly_machine_summary")
+    assert rows(summary, "summary_id", "avg_value", "anomaly_count", "reading_count") == [
+        ("MACHINE_01_temperature_2024011510", 95.5, 1, 1),
+        ("MACHINE_01_temperature_2024011623", 50.0, 0, 1),
+        ("MACHINE_01_vibration_2024011510", 20.0, 0, 1)]
+
+
+def test_event_dates_and_months_reach_the_scan(spark, landed):
+    build_silver(spark, landed)
+    build_gold(spark, landed)
+    fact = read_table(spark, landed, "fact_sensor_readings")
+    from fabpulse.functions.days import in_month_of, on_day
+    for df in (on_day(fact, "reading_ts", date(2024, 1, 15)),
+               in_month_of(fact, "reading_ts", date(2024, 1, 15))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        partition, pushed = plan.split("PartitionFilters: ")[1].split("PushedFilters: ")
+        assert "partition_day" in partition and "GreaterThanOrEqual(reading_ts" in pushed
+
+
+def test_batch_cycle(spark, landed):
+    report = run_batch(spark, landed, target_date=date(2024, 1, 15))
+    assert report["errors"] == {}
+    assert report["row_counts"] == {
+        "fact_sensor_readings": 4, "anomaly_log": 0, "hourly_machine_summary": 2}
+    assert report["dashboards"]["temperature"] == {"rows": 3, "anomalies": 1}
+    again = run_batch(spark, landed, skip_silver=True, target_date=date(2024, 1, 15))
+    assert "silver" not in again and again["row_counts"] == report["row_counts"]
+
+
+def test_a_failing_step_does_not_stop_the_others(spark, landed):
+    report = run_batch(spark, landed, skip_silver=True)
+    assert set(report["errors"]) == {"gold"} and "PATH_NOT_FOUND" in report["errors"]["gold"]
+    assert report["row_counts"]["fact_sensor_readings"] == 0
+
+
+def test_counts_of_absent_tables(spark, lake):
+    assert set(stored_row_counts(spark, lake).values()) == {None}
+    counts = table_row_counts(spark, {"a": spark.range(3), "b": None})
+    assert rows(counts, "table_name", "row_count") == [("a", 3), ("b", None)]
+
+
+def test_dashboards_keep_nulls(spark, landed):
+    build_silver(spark, landed)
+    build_gold(spark, landed)
+    stats = build_dashboards(spark, landed)
+    assert set(stats) == {"temperature", "vibration", "pressure", "power", "live_readings",
+                          "anomalies", "machine_summary", "anomaly_rate"}
+    live = [json.loads(line) for line in stored(f"{landed.dashboards}/live_readings")]
+    assert len(live) == 4
+    assert [r["status"] for r in live if r["machine"] and r["ts"] == "2024-01-16 23:30:00"] == [None]
+
+
+def test_listings_look_at_the_last_days_only(spark, monkeypatch):
+    limits = {"temperature": 4, "live_readings": 5, "anomalies": 9}
+    monkeypatch.setattr(dashboards, "LISTINGS", limits)
+    # Two readings a day up to January 6th, every other one anomalous, one without a time.
+    fact = spark.sql("""
+        SELECT cast(id AS string) AS reading_id, 'm' AS machine_id, 'temperature' AS sensor_type,
+               1D AS reading_value, id % 2 = 0 AS is_anomaly,
+               if(id = 0, null, timestamp_seconds(1704067200 + id * 43200)) AS reading_ts
+        FROM range(12)""")
+    assert dashboards.first_days(day_totals(fact)) == {
+        "temperature": date(2024, 1, 5), "live_readings": date(2024, 1, 4), "anomalies": None}
+
+
+def test_results_are_ordered(spark, landed):
+    build_silver(spark, landed)
+    build_gold(spark, landed)
+    tables = {n: read_table(spark, landed, n) for n in ("fact_sensor_readings", "dim_sensor")}
+    share = REPORTS["shift_anomaly_rate"](tables, None).collect()
+    assert [r.anomaly_pct for r in share] == sorted((r.anomaly_pct for r in share), reverse=True)
+    up = REPORTS["uptime"](tables, date(2024, 1, 20)).collect()
+    assert [(r.machine_id, r.actual_readings, r.uptime_pct) for r in up] == [("MACHINE_01", 3, 0.0)]
+    newest = datasets(tables["fact_sensor_readings"])["live_readings"].collect()
+    assert newest[0].ts == "2024-01-16 23:30:00" and newest[-1].ts is None
+
+
+def test_one_failing_report_does_not_stop_the_others(spark, landed, tmp_path):
+    build_silver(spark, landed)
+    build_gold(spark, landed)
+    tables = {n: read_table(spark, landed, n) for n in ("fact_sensor_readings", "dim_sensor")}
+    tables["fact_sensor_readings"] = tables["fact_sensor_readings"].drop("shift")
+    names = ["hot_machines", "uptime", "shift_anomaly_rate", "rolling_avg_readings"]
+    outcomes = run_business_queries(tables, date(2024, 1, 15), str(tmp_path / "out"), names)
+    assert list(outcomes) == names
+    assert "shift" in outcomes["shift_anomaly_rate"].error
+    good = {n: o.read(spark).count() for n, o in outcomes.items() if o.error is None}
+    assert good == {"hot_machines": 1, "uptime": 1, "rolling_avg_readings": 3}
+
+
+def test_constraints(spark):
+    seeds = seed_dimensions(spark)
+    fact = spark.createDataFrame(
+        [("a", 1, 1), ("a", 1, 1), ("a", 2, 9), ("b", 7, 1), (None, None, 1)],
+        "reading_id string, machine_sk int, sensor_sk int")
+    got = constraint_violations({**seeds, "dim_date": dim_date(spark), "fact_sensor_readings": fact})
+    broken = got.filter("violations > 0")
+    assert rows(broken, "table_name", "rule", "violations") == [
+        ("fact_sensor_readings", "machine_sk in dim_machine", 1),
+        ("fact_sensor_readings", "not null reading_id", 1),
+        ("fact_sensor_readings", "sensor_sk in dim_sensor", 1),
+        ("fact_sensor_readings", "unique reading_id", 1)]
+    assert got.count() == 4 * 4 + 4
+
+
+def test_calendar(spark):
+    calendar = dim_date(spark)
+    assert calendar.count() == 1096
+    got = rows(calendar.filter(F.col("date_sk").isin(20240107, 20240108, 20261231)),
+               "date_sk", "day_of_week", "is_weekend", "day")
+    assert got == [(20240107, 0, True, 7), (20240108, 1, False, 8), (20261231, 4, False, 31)]
