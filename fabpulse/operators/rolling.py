@@ -3,24 +3,28 @@
 The average over readings needs each machine's readings in order, and one machine may
 hold a large share of them, so a window per machine would be one endless task. The
 readings of a machine are cut into consecutive chunks instead, one per day and more for
-a crowded day. Each chunk gets copies of the few readings that precede it, and the
-window runs per chunk. The result does not depend on where the cuts are.
+a crowded day, and the window runs per chunk. That is final for all readings but the
+first few of a chunk, whose predecessors are the last few of chunks before. These edges
+are few, so a second window, per machine, settles them. The result does not depend on
+where the cuts are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabpulse.operators.business import of_sensor
+from fabpulse.session import settle
 
 ROLLING_READINGS = 7
 ROLLING_DAYS = 7
 
 # A (machine, day) with more readings than this is cut further.
 CHUNK_READINGS = 1_000_000
-# Cuts per crowded day: each of its readings is compared with all of them.
-MAX_CUTS = 512
+# Cuts are kept in groups: a reading is compared with the first of each, then with one group.
+CUT_GROUP = 512
+MAX_CUTS = CUT_GROUP * CUT_GROUP
 # Lists of cuts up to this many days are broadcast, longer ones are shuffled.
 MAX_BROADCAST_DAYS = 20_000
 
@@ -38,22 +42,33 @@ def rolling_avg_readings(
     """
     back = readings - 1
     micros = F.unix_micros(F.col("reading_ts").cast("timestamp"))
-    series = (
-        of_sensor(fact, dim_sensor, sensor)
-        .select("machine_id", "reading_ts", "reading_id", "reading_value")
-        .withColumn("reading_date", F.to_date("reading_ts"))
-        # Time as a number, in which a missing one sorts last.
-        .withColumn("_us", F.coalesce(micros, F.lit(_LATEST)))
-        .drop("reading_ts")
+    # Read once and for all: every pass below must see the same readings.
+    series = settle(
+        of_sensor(fact, dim_sensor, sensor).select(
+            "machine_id", "reading_id", "reading_value",
+            F.to_date("reading_ts").alias("reading_date"),
+            # Time as a number, in which a missing one sorts last.
+            F.coalesce(micros, F.lit(_LATEST)).alias("_us"),
+        )
+    )
+    in_chunk = Window.partitionBy("machine_id", "_chunk").orderBy(*_ORDER)
+    in_machine = Window.partitionBy("machine_id").orderBy(*_ORDER)
+    mean = F.avg("reading_value")
+    chunks = _with_chunks(series, chunk_readings).select(
+        "machine_id", "reading_date", "reading_id", "reading_value", "_us",
+        mean.over(in_chunk.rowsBetween(-back, 0)).alias("rolling_avg_7d"),
+        (F.row_number().over(in_chunk) <= back).alias("_head"),
+        F.lead("_us", back).over(in_chunk).isNull().alias("_tail"),
+    )
+    inner = chunks.filter("NOT _head")
+    # All of the `back` readings before a head are heads of its chunk or tails.
+    heads = (
+        chunks.filter("_head OR _tail")
+        .withColumn("rolling_avg_7d", mean.over(in_machine.rowsBetween(-back, 0)))
+        .filter("_head")
     )
-    chunked = _with_chunks(series, chunk_readings)
-    rows = chunked.withColumn("_own", F.lit(True))
-    preceding = _preceding_readings(chunked, back).withColumn("_own", F.lit(False))
-    window = Window.partitionBy("machine_id", "_chunk").orderBy(*_ORDER).rowsBetween(-back, 0)
     return (
-        rows.unionByName(preceding)
-        .withColumn("rolling_avg_7d", F.avg("reading_value").over(window))
-        .filter("_own")
+        inner.unionByName(heads)
         .orderBy("machine_id", *_ORDER)
         .select("machine_id", "reading_date", "reading_id", "rolling_avg_7d")
     )
@@ -64,13 +79,13 @@ def _with_chunks(series: DataFrame, chunk_readings: int) -> DataFrame:
     dated = series.withColumn(
         "_day", F.coalesce(F.unix_date("reading_date"), F.lit(_LATEST >> 32)).cast("bigint")
     )
-    crowded = (
+    # At most one row per `chunk_readings` readings, and none on ordinary data.
+    crowded = settle(
         dated.groupBy("machine_id", "_day")
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > chunk_readings)
     )
-    # At most one row per `chunk_readings` readings, and none on ordinary data.
-    days = crowded.limit(MAX_BROADCAST_DAYS + 1).count()
+    days = crowded.count()
     if days == 0:
         return dated.withColumn("_chunk", F.shiftleft("_day", 32)).drop("_day")
     small = days <= MAX_BROADCAST_DAYS
@@ -83,36 +98,27 @@ def _with_chunks(series: DataFrame, chunk_readings: int) -> DataFrame:
         dated.join(F.broadcast(crowded) if small else crowded, ["machine_id", "_day"])
         .filter(picked)
         .groupBy("machine_id", "_day")
-        .agg(F.collect_list(here).alias("_cuts"))
+        .agg(F.sort_array(F.collect_list(here)).alias("_cuts"))
+        .withColumn("_starts", F.sequence(F.lit(1), F.size("_cuts"), F.lit(CUT_GROUP)))
+        .select(
+            "machine_id", "_day",
+            F.transform("_starts", lambda i: F.element_at("_cuts", i)).alias("_firsts"),
+            F.transform("_starts", lambda i: F.slice("_cuts", i, CUT_GROUP)).alias("_groups"),
+        )
     )
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= here))
-    place = F.when(F.col("_cuts").isNull(), 0).otherwise(passed)
-    return (
-        dated.join(F.broadcast(cuts) if small else cuts, ["machine_id", "_day"], "left")
-        .withColumn("_chunk", F.shiftleft("_day", 32) + place)
-        .drop("_cuts", "_day")
-    )
-
 
-def _preceding_readings(chunked: DataFrame, back: int) -> DataFrame:
-    """For every chunk, the `back` readings of its machine that precede it.
+    def passed(among) -> Column:
+        return F.size(F.filter(among, lambda cut: cut <= here))
 
-    Only the last `back` readings of a chunk can precede another one. Among these, a
-    reading precedes exactly those chunks which the `back` readings after it belong to.
-    """
-    newest_first = Window.partitionBy("machine_id", "_chunk").orderBy(*map(F.desc, _ORDER))
-    tails = (
-        chunked.withColumn("_rank", F.row_number().over(newest_first))
-        .filter(F.col("_rank") <= back)
-        .drop("_rank")
+    group = F.when(F.col("_firsts").isNull(), 0).otherwise(passed("_firsts"))
+    place = F.when(F.col("_group") == 0, 0).otherwise(
+        (F.col("_group") - 1) * CUT_GROUP + passed(F.element_at("_groups", F.col("_group")))
     )
-    following = Window.partitionBy("machine_id").orderBy(*_ORDER).rowsBetween(1, back)
     return (
-        tails.withColumn("_next", F.array_distinct(F.collect_list("_chunk").over(following)))
-        .withColumn("_next", F.explode("_next"))
-        .filter(F.col("_next") != F.col("_chunk"))
-        .drop("_chunk")
-        .withColumnRenamed("_next", "_chunk")
+        dated.join(F.broadcast(cuts) if small else cuts, ["machine_id", "_day"], "left")
+        .withColumn("_group", group)
+        .withColumn("_chunk", F.shiftleft("_day", 32) + place)
+        .drop("_firsts", "_groups", "_group", "_day")
     )
 
 

@@ -20,13 +20,33 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Settled intermediate results are compressed, and removed once nothing refers to them.
+# These can be set only when the application starts.
+START_SETTINGS = {
+    "spark.ui.enabled": "false",
+    "spark.checkpoint.compress": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+# For clusters: enough shuffle partitions for tens of TB, of which adaptive execution
+# merges the small ones, and files and tasks of a size worth scheduling.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(app: str = "fabpulse", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the package's settings; `master` is for local runs only."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    """A session with the package's settings; `master` is for local runs only.
+
+    `extra` overrides any of them.
+    """
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sizing = {} if master else CLUSTER_SETTINGS
+    for key, value in {**START_SETTINGS, **SETTINGS, **sizing, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

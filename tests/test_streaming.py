@@ -1,9 +1,11 @@
 import json
+from datetime import UTC, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from conftest import land, message, publish, rows
+from conftest import message, publish, rows
 from fabpulse.sources.bronze import read_bronze
 from fabpulse.sources.tables import read_table
 from fabpulse.streaming import anomalies
@@ -106,6 +108,19 @@ def land_stream(spark, lake, topic):
     write_bronze_stream(stream, lake, files_per_batch=1, availableNow=True).awaitTermination()
 
 
+def test_a_failed_landing_is_replayed(spark, lake, topic):
+    publish(topic, message("a"), message("b"))
+    blocker = Path(lake.bronze) / f"year={datetime.now(UTC).year}"
+    blocker.parent.mkdir(parents=True)
+    blocker.write_text("in the way")
+    with pytest.raises(StreamingQueryException):
+        land_stream(spark, lake, topic)
+    blocker.unlink()
+    publish(topic, message("c"))
+    land_stream(spark, lake, topic)
+    assert rows(read_bronze(spark, lake.bronze), "message_id") == [("a",), ("b",), ("c",)]
+
+
 def test_landing_appends_each_message_once(spark, lake, topic):
     publish(topic, message("a"), "{bad json")
     land_stream(spark, lake, topic)
