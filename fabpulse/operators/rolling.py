@@ -25,8 +25,8 @@ CHUNK_READINGS = 1_000_000
 # Cuts are kept in groups: a reading is compared with the first of each, then with one group.
 CUT_GROUP = 512
 MAX_CUTS = CUT_GROUP * CUT_GROUP
-# Lists of cuts up to this many days are broadcast, longer ones are shuffled.
-MAX_BROADCAST_DAYS = 20_000
+# Up to this many cuts are broadcast (tens of MB), more are joined by a shuffle.
+MAX_BROADCAST_CUTS = 500_000
 
 _LATEST = (1 << 63) - 1
 _ORDER = ("_us", "reading_id")
@@ -85,13 +85,13 @@ def _with_chunks(series: DataFrame, chunk_readings: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > chunk_readings)
     )
-    days = crowded.count()
-    if days == 0:
-        return dated.withColumn("_chunk", F.shiftleft("_day", 32)).drop("_day")
-    small = days <= MAX_BROADCAST_DAYS
     # Cut at readings picked by the hash of their id, about `parts` per crowded day:
     # the cuts follow the data, however unevenly it lies in time.
     parts = F.least(F.ceil(F.col("_n") / chunk_readings), F.lit(MAX_CUTS))
+    total = crowded.agg(F.sum(parts)).first()[0]
+    if total is None:
+        return dated.withColumn("_chunk", F.shiftleft("_day", 32)).drop("_day")
+    small = total <= MAX_BROADCAST_CUTS
     picked = F.pmod(F.xxhash64("reading_id"), F.ceil(F.col("_n") / parts)) == 0
     here = F.struct("_us", "reading_id")
     cuts = (

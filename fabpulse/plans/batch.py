@@ -6,7 +6,6 @@ import logging
 from collections.abc import Iterable
 from datetime import UTC, date, datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from fabpulse.layout import Layout
@@ -50,7 +49,7 @@ def run_batch(
     for name, step in steps.items():
         try:
             report[name] = step()
-        except PySparkException as error:
+        except Exception as error:  # noqa: BLE001 - whatever went wrong, the next step runs
             log.exception("step %s failed", name)
             report["errors"][name] = str(error)
     return report

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from fabpulse.operators.business import hot_machines, shift_anomaly_rate, uptime
@@ -48,6 +47,6 @@ def run_business_queries(
             path = f"{out}/{name}"
             reports[name](tables, as_of).write.mode("overwrite").parquet(path)
             outcomes[name] = Outcome(path=path)
-        except (PySparkException, KeyError) as error:
+        except Exception as error:  # noqa: BLE001 - whatever went wrong, the next report runs
             outcomes[name] = Outcome(error=f"{type(error).__name__}: {error}")
     return outcomes

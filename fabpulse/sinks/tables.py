@@ -41,16 +41,19 @@ def append_missing(
     target = read_table(spark, layout, name)
     if copies_share_day and table.dated_by:
         target = target.filter(_in_days(_days_of(rows)))
+    missing = rows_to_insert(target, rows, [table.key], order_by)
+    if table.dated_by is None:
+        # A dimension: settled first, since appending no rows would still add a file.
+        missing = settle(missing)
+        count = missing.count()
+        if count:
+            missing.write.mode("append").parquet(layout.table(name))
+        return count
     inserted = Observation()
-    missing = rows_to_insert(target, rows, [table.key], order_by).observe(
-        inserted, F.count(F.lit(1)).alias("rows")
-    )
-    if table.dated_by:
-        writer = missing.hint("rebalance", PARTITION_DAY).write.partitionBy(PARTITION_DAY)
-    else:
-        writer = missing.write
+    counted = missing.observe(inserted, F.count(F.lit(1)).alias("rows"))
     with observing(spark):
-        writer.mode("append").parquet(layout.table(name))
+        counted.hint("rebalance", PARTITION_DAY).write.mode("append") \
+            .partitionBy(PARTITION_DAY).parquet(layout.table(name))
     return inserted.get["rows"]
 
 

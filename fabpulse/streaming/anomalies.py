@@ -24,17 +24,24 @@ def judge(messages: DataFrame) -> DataFrame:
     Adds the message fields as struct `m` and `error`, NULL for a valid anomaly. Anything
     but NORMAL is an anomaly, a JSON null included; a missing status is an error.
     """
-    fields = F.json_object_keys("payload")
+    opened = messages.select(
+        "payload",
+        F.json_object_keys("payload").alias("fields"),
+        F.from_json("payload", MESSAGE).alias("m"),
+    )
 
     def missing(*names: str) -> Column:
         return F.coalesce(*[
-            F.when(~F.array_contains(fields, name), f"missing field: {name}") for name in names
+            F.when(~F.array_contains("fields", name), f"missing field: {name}") for name in names
         ])
 
-    m = F.from_json("payload", MESSAGE)
-    parsed = messages.select("payload", m.alias("m"), F.coalesce(
-        F.when(fields.isNull(), "not a JSON object"), missing("message_id", "status"),
-    ).alias("unreadable"), missing("machine_id", "sensor_type", "value", "ts").alias("incomplete"))
+    parsed = opened.withColumns({
+        "unreadable": F.coalesce(
+            F.when(F.col("fields").isNull(), "not a JSON object"),
+            missing("message_id", "status"),
+        ),
+        "incomplete": missing("machine_id", "sensor_type", "value", "ts"),
+    })
     value, ts = F.col("m.value"), F.col("m.ts")
     unusable = F.coalesce(
         "incomplete",

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import land, message, rows
+from fabpulse.__main__ import parse
 from fabpulse.operators.checks import constraint_violations, table_row_counts
 from fabpulse.plans import dashboards
 from fabpulse.plans.batch import run_batch, stored_row_counts
@@ -87,10 +88,11 @@ def test_running_twice_changes_nothing(spark, landed):
     assert build_gold(spark, landed, loaded_at=LOADED) == {
         "dim_machine": 5, "dim_sensor": 4, "dim_location": 3, "dim_date": 1096,
         "fact_sensor_readings": 4}
-    before = state()
+    before, files = state(), sorted(Path(landed.root).rglob("gold/**/*.parquet"))
     build_silver(spark, landed, now=LOADED)
     assert set(build_gold(spark, landed).values()) == {0}
     assert state() == before
+    assert sorted(Path(landed.root).rglob("gold/**/*.parquet")) == files
 
 
 def test_shuffle_partitions_do_not_matter(spark, landed, tmp_path):
@@ -212,10 +214,12 @@ def test_one_failing_report_does_not_stop_the_others(spark, landed, tmp_path):
     build_gold(spark, landed)
     tables = {n: read_table(spark, landed, n) for n in ("fact_sensor_readings", "dim_sensor")}
     tables["fact_sensor_readings"] = tables["fact_sensor_readings"].drop("shift")
-    names = ["hot_machines", "uptime", "shift_anomaly_rate", "rolling_avg_readings"]
-    outcomes = run_business_queries(tables, date(2024, 1, 15), str(tmp_path / "out"), names)
+    reports = {**REPORTS, "broken": lambda *_: spark.range(1).select(F.raise_error(F.lit("no")))}
+    names = ["hot_machines", "broken", "uptime", "shift_anomaly_rate", "rolling_avg_readings"]
+    outcomes = run_business_queries(
+        tables, date(2024, 1, 15), str(tmp_path / "out"), names, reports)
     assert list(outcomes) == names
-    assert "shift" in outcomes["shift_anomaly_rate"].error
+    assert "shift" in outcomes["shift_anomaly_rate"].error and outcomes["broken"].error
     good = {n: o.read(spark).count() for n, o in outcomes.items() if o.error is None}
     assert good == {"hot_machines": 1, "uptime": 1, "rolling_avg_readings": 3}
 
@@ -241,3 +245,10 @@ def test_calendar(spark):
     got = rows(calendar.filter(F.col("date_sk").isin(20240107, 20240108, 20261231)),
                "date_sk", "day_of_week", "is_weekend", "day")
     assert got == [(20240107, 0, True, 7), (20240108, 1, False, 8), (20261231, 4, False, 31)]
+
+
+def test_job_arguments():
+    args = parse(["batch", "--root", "/lake", "--partition", "2024-01-15", "--partition",
+                  "2024-01-16", "--skip-silver", "--date", "2024-01-15"])
+    assert args.partition == [date(2024, 1, 15), date(2024, 1, 16)]
+    assert args.skip_silver and args.date == date(2024, 1, 15) and not args.once

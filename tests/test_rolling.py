@@ -48,7 +48,7 @@ def random_readings(seed, n):
     (5, True), (45, True), (45, False), (1_000_000, True),
 ])
 def test_chunks_do_not_change_the_average(spark, monkeypatch, chunk, small):
-    monkeypatch.setattr(rolling, "MAX_BROADCAST_DAYS", 20_000 if small else 0)
+    monkeypatch.setattr(rolling, "MAX_BROADCAST_CUTS", 500_000 if small else 0)
     monkeypatch.setattr(rolling, "CUT_GROUP", 4)
     readings = random_readings(7, 600)
     fact = spark.createDataFrame(readings, SCHEMA)
