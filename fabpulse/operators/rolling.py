@@ -21,7 +21,7 @@ ROLLING_READINGS = 7
 ROLLING_DAYS = 7
 
 # A (machine, day) with more readings than this is cut further.
-CHUNK_READINGS = 1_000_000
+CHUNK_READINGS = 500_000
 # Cuts are kept in groups: a reading is compared with the first of each, then with one group.
 CUT_GROUP = 512
 MAX_CUTS = CUT_GROUP * CUT_GROUP
@@ -67,11 +67,11 @@ def rolling_avg_readings(
         .withColumn("rolling_avg_7d", mean.over(in_machine.rowsBetween(-back, 0)))
         .filter("_head")
     )
-    return (
-        inner.unionByName(heads)
-        .orderBy("machine_id", *_ORDER)
-        .select("machine_id", "reading_date", "reading_id", "rolling_avg_7d")
-    )
+    columns = ["machine_id", "reading_date", "reading_id", "_us", "rolling_avg_7d"]
+    # The sort samples its input before it shuffles it: settled, that is no second run
+    # of the windows.
+    result = settle(inner.select(*columns).unionByName(heads.select(*columns)))
+    return result.orderBy("machine_id", *_ORDER).drop("_us")
 
 
 def _with_chunks(series: DataFrame, chunk_readings: int) -> DataFrame:
