@@ -99,14 +99,17 @@ def anomaly_rate(totals: DataFrame) -> DataFrame:
     )
 
 
-def export_stats(name: str, dataset: DataFrame) -> DataFrame:
-    """Rows and flagged rows of one dataset; NULL where the dataset carries no flag."""
+def export_counts(dataset: DataFrame) -> list[Column]:
+    """Rows and flagged rows of a dataset; NULL where the dataset carries no flag."""
     flagged = (
         F.count_if("is_anomaly") if "is_anomaly" in dataset.columns
-        else F.lit(None).cast("bigint")
+        else F.max(F.lit(None).cast("bigint"))
     )
-    return dataset.agg(
-        F.lit(name).alias("dataset"),
-        F.count(F.lit(1)).alias("row_count"),
-        flagged.alias("anomaly_rows"),
+    return [F.count(F.lit(1)).alias("row_count"), flagged.alias("anomaly_rows")]
+
+
+def export_stats(name: str, dataset: DataFrame) -> DataFrame:
+    """The counts of one dataset as a row."""
+    return dataset.agg(*export_counts(dataset)).select(
+        F.lit(name).alias("dataset"), "row_count", "anomaly_rows"
     )

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.config import ANOMALY_ROWS, ANOMALY_THRESHOLDS, DASHBOARD_ROWS
 from fabpulse.layout import Layout
 from fabpulse.operators.dashboards import (
-    anomalies, anomaly_rate, day_totals, export_stats, live_readings, machine_summary,
+    anomalies, anomaly_rate, day_totals, export_counts, live_readings, machine_summary,
     machine_totals, sensor_readings,
 )
 from fabpulse.schemas import PARTITION_DAY
-from fabpulse.session import settle
+from fabpulse.session import observing, settle
 from fabpulse.sinks.files import write_dashboard
 from fabpulse.sources.tables import read_table
 
@@ -86,8 +86,9 @@ def build_dashboards(spark: SparkSession, layout: Layout) -> dict[str, dict[str,
     }
     stats = {}
     for name, dataset in _datasets(facts, days).items():
-        write_dashboard(dataset, layout.dashboards, name)
-        stored = spark.read.schema(dataset.schema).json(f"{layout.dashboards}/{name}")
-        row = export_stats(name, stored).first()
-        stats[name] = {"rows": row["row_count"], "anomalies": row["anomaly_rows"]}
+        written = Observation()
+        counts = export_counts(dataset)
+        with observing(spark):
+            write_dashboard(dataset.observe(written, *counts), layout.dashboards, name)
+        stats[name] = {"rows": written.get["row_count"], "anomalies": written.get["anomaly_rows"]}
     return stats

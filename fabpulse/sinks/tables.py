@@ -43,8 +43,7 @@ def append_missing(
         target = target.filter(_in_days(_days_of(rows)))
     missing = rows_to_insert(target, rows, [table.key], order_by)
     if table.dated_by is None:
-        # A dimension: settled first, since appending no rows would still add a file.
-        missing = settle(missing)
+        # A dimension, small enough to be counted first: appending no rows would add a file.
         count = missing.count()
         if count:
             missing.write.mode("append").parquet(layout.table(name))

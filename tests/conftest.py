@@ -17,6 +17,7 @@ from fabpulse.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session("fabpulse-tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "4g", "spark.sql.ui.retainedExecutions": "10",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
     })
     session.sparkContext.setLogLevel("ERROR")
