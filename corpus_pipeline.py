@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fabpulse.llm import language_id, quality_rules, simhash
+from fabpulse.llm import byte_bpe, language_id, mixing, quality_rules, simhash
 from fabpulse.llm.scratch import scratch_path
 from fabpulse.llm.shipping import ship
 
@@ -35,14 +36,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs.select(*COLUMNS))
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the weights of their sources ask for."""
+    return mixing.mix_documents(docs.select(*COLUMNS))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every whole text encoded, and decoded again."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.digests(byte_bpe.with_tokens(
+        docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN))
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", language),
     ("quality_rules", quality),
     ("simhash_dedup", near_dedup),
+    ("mixing", mixed),
+    ("byte_bpe", tokens),
 ]
 
-# No stage but mixing can be told in SQL: models are learned, tokens merged by rank.
+# Models are learned and tokens merged by rank, which SQL can't express.
 ORACLE_SQL: str | None = None
 
 

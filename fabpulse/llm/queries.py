@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabpulse.llm import language_id, quality_rules, simhash
+from fabpulse.llm import byte_bpe, language_id, mixing, quality_rules, simhash
 from fabpulse.llm.shipping import ship
 
 
@@ -35,10 +36,20 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(byte_bpe.with_tokens(docs, ranks, public_tokenizers.PATTERN))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(mixing.countable(_table(spark, sf_dir, "documents"))).drop("mark")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_quality_rules, op2_language_id, op3_simhash_dedup,
+        op1_quality_rules, op2_language_id, op3_simhash_dedup, op7_byte_bpe, op8_mixing,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_mixing": mixing.ORACLE}
