@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from fabpulse.llm.words import spaced_chunks
 
 GROUP_CHARS = 1 << 23  # of texts whose pieces are encoded together
-KNOWN_CHUNKS = 600_000  # remembered by a worker
+KNOWN_CHUNKS = 1_000_000  # remembered by a worker
 
 
 class Partners:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabpulse.llm import byte_bpe, language_id, mixing, quality_rules, simhash
+from fabpulse.llm import byte_bpe, language_id, mixing, quality_rules, rans, simhash
+from fabpulse.llm.scratch import scratch_path
 from fabpulse.llm.shipping import ship
 
 
@@ -46,9 +47,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.countable(_table(spark, sf_dir, "documents"))).drop("mark")
 
 
+def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
+        definition = file.read()
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "token-store")
+    rans.write_store(docs, path, definition, end_id=2)
+    return rans.read_store(spark, path).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_quality_rules, op2_language_id, op3_simhash_dedup, op7_byte_bpe, op8_mixing,
+        op10_rans_store,
     )
 }
 
