@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabpulse.llm import byte_bpe, language_id, mixing, quality_rules, rans, simhash
+from fabpulse.llm import (
+    byte_bpe, cover_tree, language_id, mixing, quality_rules, rans, sharding, simhash,
+    warc,
+)
 from fabpulse.llm.scratch import scratch_path
 from fabpulse.llm.shipping import ship
 
@@ -37,6 +40,19 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "archives")
+    # Pages have no capture time of their own: their ids stand in for seconds.
+    warc.write_archives(pages, path, date=F.timestamp_seconds(1_704_067_200 + F.col("page_id")))
+    return warc.capture_histories(spark, path)
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cover_tree.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return cover_tree.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,6 +63,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.countable(_table(spark, sf_dir, "documents"))).drop("mark")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
         definition = file.read()
@@ -58,8 +78,8 @@ def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_quality_rules, op2_language_id, op3_simhash_dedup, op7_byte_bpe, op8_mixing,
-        op10_rans_store,
+        op1_quality_rules, op2_language_id, op3_simhash_dedup, op4_warc, op6_exact_top_k,
+        op7_byte_bpe, op8_mixing, op9_sharding, op10_rans_store,
     )
 }
 

@@ -42,8 +42,9 @@ BLOCK_TOKENS = 1 << 18
 HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, steps between checkpoints, words, crc32
 MAGIC = b"RNS1"
 
-GROUP_CHARS = 1 << 23  # of texts whose chunks are tokenised together
-KNOWN_CHUNKS = 1_000_000  # remembered by a worker
+GROUP_CHARS = 1 << 22  # of texts whose chunks are looked up together
+NEW_CHUNKS = 50_000  # tokenised together
+KNOWN_CHUNKS = 500_000  # remembered by a worker
 
 DRAFT = ("part int, block long, start long, doc_ids array<bigint>, sizes array<int>, "
          "crcs array<bigint>, ids binary")
@@ -168,13 +169,17 @@ class ChunkTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        chunks = [spaced_chunks(text or "") for text in texts]
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
-        new = list(set(chain.from_iterable(chunks)).difference(self.known))
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[chunk] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in chunks]
+        parts = [spaced_chunks(text or "") for text in texts]
+        used = set(chain.from_iterable(parts))
+        if len(self.known) > KNOWN_CHUNKS:  # forget what is not in use
+            self.known = {chunk: self.known[chunk] for chunk in used if chunk in self.known}
+        new = list(used.difference(self.known))
+        for low in range(0, len(new), NEW_CHUNKS):
+            some = new[low:low + NEW_CHUNKS]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.known.update((chunk, array("I", coded.ids).tobytes())
+                              for chunk, coded in zip(some, found))
+        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
 
 
 @lru_cache(maxsize=2)
