@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fabpulse.llm import (
     byte_bpe, cover_tree, language_id, mixing, quality_rules, rans, sharding, simhash,
-    warc,
+    tool_calls, warc,
 )
 from fabpulse.llm.scratch import scratch_path
 from fabpulse.llm.shipping import ship
@@ -48,6 +48,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_histories(spark, path)
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return tool_calls.link(*tool_calls.conversation_calls(turns), tool_calls.SCHEMAS)
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = cover_tree.integer_vectors(_table(spark, sf_dir, "embeddings"))
     return cover_tree.top_k(vectors, F.col("vec_id") % 100 == 0)
@@ -78,9 +83,9 @@ def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_quality_rules, op2_language_id, op3_simhash_dedup, op4_warc, op6_exact_top_k,
+        op1_quality_rules, op2_language_id, op3_simhash_dedup, op4_warc, op5_tool_calls, op6_exact_top_k,
         op7_byte_bpe, op8_mixing, op9_sharding, op10_rans_store,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op5_tool_calls": tool_calls.ORACLE, "op8_mixing": mixing.ORACLE}
