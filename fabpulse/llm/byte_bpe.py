@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from fabpulse.llm.words import spaced_chunks
 
-GROUP_CHARS = 1 << 23  # of texts whose pieces are encoded together
-KNOWN_CHUNKS = 1_000_000  # remembered by a worker
+GROUP_CHARS = 1 << 22  # of texts whose chunks are looked up together
+NEW_CHUNKS = 200_000  # whose pieces are encoded together
+KNOWN_CHUNKS = 500_000  # remembered by a worker
 
 
 class Partners:
@@ -72,6 +73,9 @@ class Merges:
         for value, own in enumerate(self.single.tolist()):
             self.first_pairs[value] = self.to_the_right.ranks(own, self.single)
 
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
     def alone(self, piece: bytes) -> list[int]:
         """The greedy encoding of one piece, the leftmost of the lowest rank first."""
         ids = self.single[np.frombuffer(piece, np.uint8)].tolist()
@@ -83,10 +87,11 @@ class Merges:
             rank, at = min(ranks)
             ids[at:at + 2] = [rank]
 
-    def replay(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of each piece, by applying merges to all of them in rank order."""
-        raw = np.frombuffer(b"".join(pieces), np.uint8)
-        sizes = np.array([len(piece) for piece in pieces])
+    def replay(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Apply merges to all pieces in rank order: ids, and where each piece's ids end.
+
+        `raw` holds the pieces' bytes one after the other, `sizes` how many each has.
+        """
         ends = np.cumsum(sizes)
         n = len(raw)
         token = self.single[raw]
@@ -103,13 +108,12 @@ class Merges:
         def note(ranks: np.ndarray, places: np.ndarray) -> None:
             order = np.argsort(ranks, kind="stable")
             ranks, places = ranks[order], places[order]
-            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
-            for rank, part in zip(ranks[np.concatenate(([0], cuts))].tolist(),
-                                  np.split(places, cuts)):
+            cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+            for low, high, rank in zip(cuts, cuts[1:], ranks[cuts[:-1]].tolist()):
                 if rank in index:
-                    index[rank].append(part)
+                    index[rank].append(places[low:high])
                 else:
-                    index[rank] = [part]
+                    index[rank] = [places[low:high]]
                     heappush(due, rank)
 
         start = np.flatnonzero(pair_rank >= 0)
@@ -150,13 +154,18 @@ class Merges:
                     astray.append(places[early])
                 note(new, places)
 
-        ids = token[~gone].astype(np.uint32)
-        cuts = np.concatenate(([0], np.cumsum(~gone)))[ends]
-        found = np.split(ids, cuts[:-1])
-        for which in set(np.searchsorted(ends, np.concatenate(astray), "right").tolist()
-                         if astray else ()):
-            found[which] = np.array(self.alone(pieces[which]), np.uint32)
-        return found
+        # What went astray, or is a token as a whole, is put right in place.
+        begin = ends - sizes
+        left = set(np.searchsorted(ends, np.concatenate(astray), "right").tolist()) if astray else ()
+        text = raw.tobytes()
+        for which, (low, high) in enumerate(zip(begin.tolist(), ends.tolist())):
+            whole = self.ranks.get(text[low:high])
+            if whole is None and which not in left:
+                continue
+            ids = [whole] if whole is not None else self.alone(text[low:high])
+            token[low:low + len(ids)] = ids
+            gone[low:low + len(ids)], gone[low + len(ids):high] = False, True
+        return token[~gone], np.cumsum(~gone)[ends - 1]
 
 
 def _leftmost(chained: np.ndarray) -> np.ndarray:
@@ -176,26 +185,29 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, chunks: set[str]) -> None:
-        split = {chunk: [piece.encode() for piece in self.split(chunk)] for chunk in chunks}
-        whole = self.merges.ranks
-        distinct = {piece for pieces in split.values() for piece in pieces}
-        ids = {piece: np.uint32(whole[piece]).tobytes() for piece in distinct if piece in whole}
-        rest = sorted(distinct.difference(ids))
-        if rest:
-            ids.update(zip(rest, (found.astype("<u4").tobytes()
-                                  for found in self.merges.replay(rest))))
-        for chunk, pieces in split.items():
-            self.known[chunk] = b"".join(map(ids.__getitem__, pieces))
+    def _learn(self, chunks: list[str]) -> None:
+        split = [self.split(chunk) for chunk in chunks]
+        pieces = list(chain.from_iterable(split))
+        points = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
+        bytes_up_to = np.concatenate(([0], np.cumsum(
+            1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))))
+        edges = bytes_up_to[np.cumsum(np.fromiter(map(len, pieces), int, len(pieces)))]
+        raw = np.frombuffer("".join(pieces).encode(), np.uint8)
+        ids, ends = self.merges.replay(raw, np.diff(edges, prepend=0))
+        last = np.cumsum(np.fromiter(map(len, split), int, len(split))) - 1
+        coded, cuts = ids.astype("<u4").tobytes(), (4 * ends[last]).tolist()
+        for chunk, low, high in zip(chunks, [0, *cuts], cuts):
+            self.known[chunk] = coded[low:high]
 
     def group(self, texts: list[str]) -> list[bytes]:
-        chunks = [spaced_chunks(text) for text in texts]
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
-        new = set(chain.from_iterable(chunks)).difference(self.known)
-        if new:
-            self._learn(new)
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in chunks]
+        parts = [spaced_chunks(text) for text in texts]
+        used = set(chain.from_iterable(parts))
+        if len(self.known) > KNOWN_CHUNKS:  # forget what is not in use
+            self.known = {chunk: self.known[chunk] for chunk in used if chunk in self.known}
+        new = list(used.difference(self.known))
+        for low in range(0, len(new), NEW_CHUNKS):
+            self._learn(new[low:low + NEW_CHUNKS])
+        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -221,35 +233,37 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-def encoded(text: Column, ranks: bytes, pattern: str) -> Column:
-    """The ids of each whole text, as binary."""
-    @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
-        return pa.array(_encoder(ranks, pattern).encode(texts.to_pylist()), pa.binary())
-
-    return ids.asNondeterministic()(text)
-
-
 def decoded(ids: Column, ranks: bytes, pattern: str) -> Column:
     """The bytes that ids stand for; null for null."""
     @F.arrow_udf("binary")
     def texts(batch: pa.Array) -> pa.Array:
-        token = _encoder(ranks, pattern).merges.tokens.__getitem__
-        return pa.array([None if row is None else
-                         b"".join(map(token, np.frombuffer(row, "<u4").tolist()))
-                         for row in batch.to_pylist()], pa.binary())
+        merges = _encoder(ranks, pattern).merges
+        return pa.array([None if row is None else merges.decode(row) for row in batch.to_pylist()],
+                        pa.binary())
 
     return texts.asNondeterministic()(ids)
 
 
-def with_tokens(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text") -> DataFrame:
-    """Add `ids` and `decoded`, both binary, for each whole text."""
-    return (docs.withColumn("ids", encoded(F.col(text), ranks, pattern))
-            .withColumn("decoded", decoded(F.col("ids"), ranks, pattern)))
+def with_tokens(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text",
+                into: str = "tokens") -> DataFrame:
+    """Add a struct of `ids` (little-endian unsigned 32-bit integers) and `decoded`, both binary.
+
+    What is decoded are the ids, so the two tell whether the round trip is exact.
+    """
+    @F.arrow_udf("struct<ids:binary,decoded:binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        encoder = _encoder(ranks, pattern)
+        ids = encoder.encode(texts.to_pylist())
+        back = [encoder.merges.decode(row) for row in ids]
+        return pa.StructArray.from_arrays(
+            [pa.array(ids, pa.binary()), pa.array(back, pa.binary())], ["ids", "decoded"])
+
+    return docs.withColumn(into, both.asNondeterministic()(F.col(text)))
 
 
 def digests(tokens: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of `with_tokens`."""
     return tokens.select(
-        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        "doc_id", F.expr("octet_length(tokens.ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("tokens.ids", 256).alias("ids_sha256"),
+        F.sha2("tokens.decoded", 256).alias("decoded_sha256"))

@@ -43,11 +43,13 @@ def test_pairs_out_of_rank_order_fall_back():
     content = b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items())
     merges = byte_bpe.Merges(content)
     pieces = [b"zabc", b"abcabc", b"xyxyxyx", b"aaaaa", b"xabcyx", b"q", b"xyxyabcaa"]
-    assert [found.tolist() for found in merges.replay(pieces)] == [merges.alone(p) for p in pieces]
+    ids, ends = merges.replay(np.frombuffer(b"".join(pieces), np.uint8), np.array(list(map(len, pieces))))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [merges.alone(p) for p in pieces]
 
 
 def test_memory_of_chunks_is_bounded(monkeypatch):
     monkeypatch.setattr(byte_bpe, "KNOWN_CHUNKS", 5)
+    monkeypatch.setattr(byte_bpe, "NEW_CHUNKS", 3)
     monkeypatch.setattr(byte_bpe, "GROUP_CHARS", 30)
     encoder = byte_bpe.Encoder(RANKS, PATTERN)
     texts = [f"some words number {i} of {i * i}" for i in range(50)]
