@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -26,7 +25,7 @@ from fabpulse.plans.batch import run_batch
 from fabpulse.plans.dashboards import datasets
 from fabpulse.plans.gold import build_gold
 from fabpulse.schemas import ARRIVAL_COLUMNS, MESSAGE, PARTITION_DAY
-from fabpulse.session import adopt, shared_folder
+from fabpulse.session import own_session, scratch_folder
 from fabpulse.sources.bronze import read_bronze
 from fabpulse.sources.dimensions import dim_date, seed_dimensions
 from fabpulse.sources.tables import read_table
@@ -48,7 +47,7 @@ def query(build: Query) -> Query:
     """Register a query; timestamps leave without a zone, audit columns not at all."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = build(adopt(spark), sf_dir).drop(*AUDIT)
+        df = build(own_session(spark), sf_dir).drop(*AUDIT)
         zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
         return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
@@ -58,7 +57,7 @@ def query(build: Query) -> Query:
 
 def new_lake(spark: SparkSession) -> Layout:
     """A lake of its own, in the folder all executors share."""
-    return Layout(f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}")
+    return Layout(scratch_folder(spark, "lake"))
 
 
 def landed(spark: SparkSession, sf_dir: str) -> Layout:
@@ -402,8 +401,7 @@ def stream_bronze(spark, sf_dir):
 
 def _captured(spark, sf_dir) -> Layout:
     lake = new_lake(spark)
-    for stream in capture_anomalies(payload_stream(spark, sf_dir), lake, availableNow=True):
-        stream.awaitTermination()
+    capture_anomalies(payload_stream(spark, sf_dir), lake, availableNow=True).awaitTermination()
     return lake
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 from datetime import UTC, date, datetime
 
 from fabpulse.layout import Layout
@@ -25,8 +26,6 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--partition", type=date.fromisoformat, action="append",
                         help="arrival day to process; all when not given")
     parser.add_argument("--skip-silver", action="store_true", help="start from stored Silver")
-    parser.add_argument("--copies-share-day", action="store_true",
-                        help="the feed repeats messages unchanged, so look keys up per day")
     parser.add_argument("--report", action="append", choices=sorted(REPORTS))
     parser.add_argument("--source", default="text", help="format of the message stream")
     parser.add_argument("--path", help="path of the message stream, for file sources")
@@ -36,15 +35,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
+    """Returns the exit code: 1 if any step or report failed."""
     args = parse(argv)
+    failed = False
     spark = build_session(f"fabpulse-{args.job}")
     lake = Layout(args.root)
     today = datetime.now(UTC).date()
     if args.job == "batch":
-        report = run_batch(spark, lake, args.skip_silver, args.date, args.partition,
-                           args.copies_share_day)
+        report = run_batch(spark, lake, args.skip_silver, args.date, args.partition)
         print(json.dumps(report, default=str))
+        failed = bool(report.get("errors"))
     elif args.job == "hourly":
         print(run_hourly(spark, lake, args.date))
     elif args.job == "reports":
@@ -52,17 +53,15 @@ def main(argv: list[str] | None = None) -> None:
         out = f"{lake.root}/reports"
         outcomes = run_business_queries(tables, args.date or today, out, args.report)
         print(json.dumps({name: outcome.error or outcome.path for name, outcome in outcomes.items()}))
+        failed = any(outcome.error for outcome in outcomes.values())
     else:
         options = dict(option.split("=", 1) for option in args.option)
         messages = read_reading_stream(spark, args.path, args.source, **options)
         trigger = {"availableNow": True} if args.once else {}
-        if args.job == "land":
-            streams = [write_bronze_stream(messages, lake, **trigger)]
-        else:
-            streams = capture_anomalies(messages, lake, **trigger)
-        for stream in streams:
-            stream.awaitTermination()
+        start = write_bronze_stream if args.job == "land" else capture_anomalies
+        start(messages, lake, **trigger).awaitTermination()  # raises what the stream failed with
+    return int(failed)
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

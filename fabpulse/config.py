@@ -66,7 +66,6 @@ class Role:
 
     tables: frozenset[str]
     hidden_columns: frozenset[str]
-    description: str
 
 
 # Who sees what.
@@ -77,7 +76,6 @@ ROLES = {
             "dim_date", "anomaly_log", "hourly_machine_summary",
         }),
         frozenset(),
-        "all tables and columns",
     ),
     "analyst": Role(
         frozenset({
@@ -85,11 +83,9 @@ ROLES = {
             "dim_date", "hourly_machine_summary",
         }),
         frozenset({"_ingested_at", "_loaded_at"}),
-        "business tables without audit columns",
     ),
     "viewer": Role(
         frozenset({"hourly_machine_summary", "dim_machine"}),
         frozenset(),
-        "summaries only",
     ),
 }

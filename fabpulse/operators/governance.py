@@ -2,49 +2,77 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from fabpulse.config import ROLES
-from fabpulse.session import adopt
+from fabpulse.layout import Layout
+from fabpulse.session import own_session
+from fabpulse.sources.tables import read_table
 
 Loader = Callable[[SparkSession], DataFrame]
 
+ROLE_KEY = "fabpulse.role"
+# Functions that call Java methods by name.
+REFLECTION = ("java_method", "reflect", "try_reflect")
+_REFLECTION_CALL = re.compile(rf"\b({'|'.join(REFLECTION)})`?\s*\(", re.IGNORECASE)
+# A relation of a catalog or of another session, in an analysed plan: its name has a qualifier.
+_FOREIGN = re.compile(r"SubqueryAlias (\S+\.\S+)")
+
 
 def role_views(spark: SparkSession, role: str, loaders: Mapping[str, Loader]) -> SparkSession:
     """A session of its own, holding views of the tables the role may read.
 
     `loaders` builds each table in the session it is given.
     """
-    if role not in ROLES:
-        raise ValueError(f"unknown role {role!r}, expected one of {sorted(ROLES)}")
-    session = adopt(spark.newSession())
-    session.conf.set(
-        "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
-    )
+    _known(role)
+    session = own_session(spark)
     rights = ROLES[role]
     for name, load in loaders.items():
         if name in rights.tables:
             load(session).drop(*rights.hidden_columns).createOrReplaceTempView(name)
     # Files must not be readable past the views.
     session.conf.set("spark.sql.runSQLOnFiles", "false")
+    session.conf.set(ROLE_KEY, role)
     return session
 
 
-def role_query(session: SparkSession, role: str, sql: str) -> DataFrame:
-    """Run a query in a role's session. What the role may not see is a PermissionError.
+def open_as(spark: SparkSession, role: str, layout: Layout) -> SparkSession:
+    """A role's session over the tables of a stored lake."""
+    _known(role)
+    return role_views(spark, role, {
+        name: lambda session, name=name: read_table(session, layout, name)
+        for name in ROLES[role].tables
+    })
 
-    The text is run as a subquery, which only a query can be.
-    """
+
+def _known(role: str) -> None:
     if role not in ROLES:
         raise ValueError(f"unknown role {role!r}, expected one of {sorted(ROLES)}")
+
+
+def role_query(session: SparkSession, role: str, sql: str) -> DataFrame:
+    """Run a query in the session of that very role. What it may not see is a PermissionError.
+
+    The text is run as a subquery, which only a query can be. It is analysed, and refused where it
+    calls Java methods or names relations besides the role's views, before anything of it runs.
+    """
+    _known(role)
+    if session.conf.get(ROLE_KEY, None) != role:
+        raise PermissionError(f"this session was not opened as {role!r}")
+    if _REFLECTION_CALL.search(sql):
+        raise PermissionError(f"role {role!r} may not call Java methods")
     query = sql.strip().rstrip(";")
     try:
-        return session.sql(f"SELECT * FROM (\n{query}\n)")
+        result = session.sql(f"SELECT * FROM (\n{query}\n)")
     except AnalysisException as error:
         raise _as_denial(error, role) from error
+    if foreign := _FOREIGN.search(result._jdf.queryExecution().analyzed().toString()):
+        raise PermissionError(f"role {role!r} may not read {foreign[1]}")
+    return result
 
 
 def _as_denial(error: AnalysisException, role: str) -> Exception:

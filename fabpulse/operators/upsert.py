@@ -27,10 +27,13 @@ def rows_to_insert(
 ) -> DataFrame:
     """First source row of every key the target does not hold.
 
-    Only the key columns of the target are read.
+    Only the key columns of the target are read, and only those of them that the source holds
+    as well take part in the second join. While the source is small its keys are broadcast, so
+    the target is not shuffled.
     """
     first = first_per_key(with_required_keys(source, keys), keys, order_by)
-    return first.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+    held = target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
+    return first.join(held, list(keys), "left_anti").select(*source.columns)
 
 
 def insert_or_ignore(

@@ -25,7 +25,6 @@ COUNTED_TABLES = ("fact_sensor_readings", "anomaly_log", "hourly_machine_summary
 def run_batch(
     spark: SparkSession, layout: Layout, skip_silver: bool = False,
     target_date: date | None = None, partitions: Iterable[date] | None = None,
-    copies_share_day: bool = False,
 ) -> dict[str, object]:
     """Silver, Gold, dashboards, hourly summaries of `target_date` (today by default).
 
@@ -38,7 +37,7 @@ def run_batch(
     day = target_date or datetime.now(UTC).date()
     steps = {
         "silver": lambda: build_silver(spark, layout, days),
-        "gold": lambda: build_gold(spark, layout, days, copies_share_day=copies_share_day),
+        "gold": lambda: build_gold(spark, layout, days),
         "dashboards": lambda: build_dashboards(spark, layout),
         "hourly": lambda: run_hourly(spark, layout, day),
         "row_counts": lambda: stored_row_counts(spark, layout),

@@ -27,12 +27,11 @@ def seed_tables(spark: SparkSession, layout: Layout) -> dict[str, int]:
 
 def build_gold(
     spark: SparkSession, layout: Layout, partitions: Iterable[date] | None = None,
-    loaded_at: datetime | None = None, copies_share_day: bool = False,
+    loaded_at: datetime | None = None,
 ) -> dict[str, int]:
     """Load the fact table from the given arrival days (all by default).
 
-    Returns the number of rows inserted per table. See `append_missing` for
-    `copies_share_day`.
+    Returns the number of rows inserted per table.
     """
     for name in TABLES:
         ensure_table(spark, layout, name)
@@ -45,6 +44,6 @@ def build_gold(
     )
     first = [F.col("reading_ts").asc_nulls_last(), F.xxhash64("reading_value", "status", "shift")]
     inserted["fact_sensor_readings"] = append_missing(
-        spark, layout, "fact_sensor_readings", facts, first, copies_share_day
+        spark, layout, "fact_sensor_readings", facts, first
     )
     return inserted

@@ -5,29 +5,36 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.layout import Layout
 from fabpulse.operators.silver import is_rejected, refine, split_quarantine, type_readings
-from fabpulse.schemas import ARRIVAL_COLUMNS, CORRUPT_RECORD
-from fabpulse.session import observing
-from fabpulse.sinks.files import write_quarantine, write_silver
+from fabpulse.schemas import ARRIVAL_COLUMNS, CORRUPT_RECORD, SILVER
+from fabpulse.session import observing, settle
+from fabpulse.sinks.files import drop_days, write_quarantine, write_silver
 from fabpulse.sources.bronze import arrival_date, read_bronze
+from fabpulse.sources.tables import read_silver
 
 
 def build_silver(
     spark: SparkSession, layout: Layout,
     partitions: Iterable[date] | None = None, now: datetime | None = None,
 ) -> dict[str, int]:
-    """Rebuild Silver for the given arrival days (all by default); returns run metrics.
+    """Rebuild Silver and quarantine for the given arrival days (all by default).
 
-    The counts are observed while Silver is written, so no pass is made for them. They
-    also tell which days hold rejected messages: only those are read again.
+    Runs over some days leave the same Silver as one run over all of them: a message keeps its
+    first delivery, whichever day that arrived on, and days that lost all rows are emptied.
+
+    Returns run metrics. They are observed while Silver is written, so no pass is made for them;
+    a task that runs again after an executor was lost can be counted twice, the files hold its rows
+    once.
     """
-    typed = type_readings(read_bronze(spark, layout.bronze, partitions), now)
-    read, written = Observation(), Observation()
-    silver = refine(
+    days = None if partitions is None else sorted(set(partitions))
+    typed = type_readings(read_bronze(spark, layout.bronze, days), now)
+    read = Observation()
+    rows = refine(
         typed.observe(
             read,
             F.count(F.lit(1)).alias("input_rows"),
@@ -35,19 +42,84 @@ def build_silver(
             F.count_if(~is_rejected() & F.col("reading_ts").isNull()).alias("undated"),
             F.collect_set(F.when(is_rejected(), arrival_date())).alias("rejected_days"),
         )
-    ).drop(CORRUPT_RECORD).observe(
-        written,
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.size(F.collect_set(F.struct(*ARRIVAL_COLUMNS))).alias("partitions"),
-    )
+    ).drop(CORRUPT_RECORD)
     with observing(spark):
-        write_silver(silver, layout.silver)
-    metrics = {**read.get, **written.get}
+        if days is None:
+            written = Observation()
+            write_silver(rows.observe(
+                written,
+                F.count(F.lit(1)).alias("silver_rows"),
+                F.size(F.collect_set(F.struct(*ARRIVAL_COLUMNS))).alias("partitions"),
+            ), layout.silver)
+            metrics = {**read.get, **written.get}
+        else:
+            counts = _merge_days(spark, layout, settle(rows), days)
+            if counts is None:  # a message left these days, and another copy has to take its place
+                return build_silver(spark, layout, None, now)
+            metrics = {**read.get, **counts}
     rejected_days = metrics.pop("rejected_days")
-    if rejected_days:
-        again = type_readings(read_bronze(spark, layout.bronze, rejected_days), now)
-        write_quarantine(split_quarantine(again)[1], layout.quarantine)
+    # The same frame, so the same files as were counted above.
+    bad = split_quarantine(typed)[1].filter(arrival_date().isin(rejected_days))
+    if days is None or rejected_days:
+        write_quarantine(bad, layout.quarantine, days)
+    if days is not None:
+        drop_days(spark, layout.quarantine, set(days).difference(rejected_days))
     metrics["duplicates"] = (
         metrics["input_rows"] - metrics["quarantined"] - metrics["silver_rows"]
     )
     return metrics
+
+
+def _merge_days(
+    spark: SparkSession, layout: Layout, rows: DataFrame, days: list[date],
+) -> dict[str, int] | None:
+    """Write the rows of some arrival days, against copies that Silver holds in others.
+
+    Of the other days only the keys are read, and the days in which a copy loses are rewritten.
+    Returns None, with nothing written, if Silver holds messages in these days that are no longer
+    among `rows`: which copy comes next is only known to Bronze.
+    """
+    stored = _silver_or_empty(spark, layout)
+    here = arrival_date().isin(days)
+    ids = rows.select("message_id")
+    left = stored.filter(here).select("message_id").join(ids, "message_id", "left_anti")
+    if not left.isEmpty():
+        return None
+    rivals = stored.filter(~here).select(
+        "message_id", F.struct(*_delivery(), *ARRIVAL_COLUMNS).alias("theirs"))
+    met = settle(
+        rivals.join(ids, "message_id", "left_semi")
+        .join(rows.select("message_id", F.struct(*_delivery()).alias("ours")), "message_id")
+        .select("message_id", "theirs.*",
+                (F.struct(F.col("theirs.undated"), F.col("theirs.reading_ts"), F.col("theirs.arrived"))
+                 < F.col("ours")).alias("theirs_first")))
+    kept = rows.join(met.filter("theirs_first"), "message_id", "left_anti")
+    losing = met.filter("NOT theirs_first")
+    # One row per day of the calendar at most.
+    changed = [r[0] for r in losing.select(arrival_date()).distinct().collect()]
+    rebuilt = stored.filter(arrival_date().isin(changed)).join(losing, "message_id", "left_anti")
+    columns = SILVER.fieldNames()
+    # Settled before the write, which replaces the very files `stored` reads.
+    result = settle(kept.select(*columns).unionByName(rebuilt.select(*columns)))
+    counted = {r["day"]: r["count"]
+               for r in result.groupBy(arrival_date().alias("day")).count().collect()}
+    if counted:
+        write_silver(result, layout.silver, days)
+    drop_days(spark, layout.silver, {*days, *changed}.difference(counted))
+    ours = {day: n for day, n in counted.items() if day in days}
+    return {"silver_rows": sum(ours.values()), "partitions": len(ours)}
+
+
+def _delivery() -> list[Column]:
+    """What orders deliveries that arrived on different days; no time comes last."""
+    return [F.col("reading_ts").isNull().alias("undated"), "reading_ts",
+            arrival_date().alias("arrived")]
+
+
+def _silver_or_empty(spark: SparkSession, layout: Layout) -> DataFrame:
+    try:
+        return read_silver(spark, layout.silver)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], SILVER)
+        raise

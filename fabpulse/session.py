@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 # UTC everywhere: shifts and event dates are read off the wall clock of the session.
@@ -14,10 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Keys of captured anomalies are kept for good, so the state must live on disk.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Settled intermediate results are compressed, and removed once nothing refers to them.
@@ -51,11 +49,13 @@ def build_session(app: str = "fabpulse", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def adopt(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the package's runtime settings on top of those of `spark`, left as it is."""
+    session = spark.newSession()
+    for key, value in {**spark.conf.getAll, **SETTINGS}.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,6 +70,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A fresh folder in the shared one, removed when the application ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    path, files = file_system(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def file_system(spark: SparkSession, uri: str) -> tuple[JavaObject, JavaObject]:
+    """A path and the file system it is on, as the cluster's file systems name them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably, so it can replace files it was computed from."""
     shared_folder(df.sparkSession)

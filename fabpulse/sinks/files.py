@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from collections.abc import Iterable
+from datetime import date
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from fabpulse.schemas import ARRIVAL_COLUMNS
+from fabpulse.session import file_system
 
 
 def replacing_partitions(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrameWriter:
@@ -20,12 +24,32 @@ def replacing_partitions(df: DataFrame, columns: tuple[str, ...] | list[str]) ->
     )
 
 
-def write_silver(df: DataFrame, root: str) -> None:
-    replacing_partitions(df, ARRIVAL_COLUMNS).parquet(root)
+def replacing_all(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrameWriter:
+    """A writer that replaces everything, so that a partition without rows is gone."""
+    return replacing_partitions(df, columns).option("partitionOverwriteMode", "static")
+
+
+def drop_days(spark: SparkSession, root: str, days: Iterable[date]) -> None:
+    """Remove arrival days, those that exist."""
+    for day in days:
+        for month, number in ((f"{day.month:02}", f"{day.day:02}"), (day.month, day.day)):
+            path, files = file_system(spark, f"{root}/year={day.year}/month={month}/day={number}")
+            files.delete(path, True)
+
+
+def write_silver(df: DataFrame, root: str, days: list[date] | None = None) -> None:
+    """Replace all of Silver, or the partitions present in `df` when `days` are given.
+
+    Those of `days` that `df` doesn't hold have to be dropped by the caller, see `drop_days`.
+    """
+    replace = replacing_all if days is None else replacing_partitions
+    replace(df, ARRIVAL_COLUMNS).parquet(root)
 
 
-def write_quarantine(bad: DataFrame, root: str) -> None:
-    replacing_partitions(bad, ARRIVAL_COLUMNS).json(root)
+def write_quarantine(bad: DataFrame, root: str, days: list[date] | None = None) -> None:
+    """As `write_silver`, for rejected messages."""
+    replace = replacing_all if days is None else replacing_partitions
+    replace(bad, ARRIVAL_COLUMNS).json(root)
 
 
 def write_dashboard(df: DataFrame, root: str, name: str) -> None:

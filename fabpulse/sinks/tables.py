@@ -28,22 +28,20 @@ def ensure_table(spark: SparkSession, layout: Layout, name: str) -> None:
 
 def append_missing(
     spark: SparkSession, layout: Layout, name: str, source: DataFrame,
-    order_by: Sequence[Column], copies_share_day: bool = False,
+    order_by: Sequence[Column],
 ) -> int:
     """Insert-or-ignore into a table; returns the number of rows inserted.
 
-    All keys of the table are looked up, unless `copies_share_day`: a feed that repeats
-    its messages unchanged never moves a key to another day, so the days of `source`
-    are all that needs looking at.
+    All keys of the table are looked up, wherever they are stored.
     """
     table = TABLES[name]
     rows = _with_day(table, source.select(*table.schema.fieldNames()))
     target = read_table(spark, layout, name)
-    if copies_share_day and table.dated_by:
-        target = target.filter(_in_days(_days_of(rows)))
+    if not target.isEmpty():
+        rows = settle(rows)  # read for its keys and for its rows
     missing = rows_to_insert(target, rows, [table.key], order_by)
     if table.dated_by is None:
-        # A dimension, small enough to be counted first: appending no rows would add a file.
+        # A dimension: appending no rows would add a file.
         count = missing.count()
         if count:
             missing.write.mode("append").parquet(layout.table(name))

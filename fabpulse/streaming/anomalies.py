@@ -71,50 +71,43 @@ def dead_letters(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("error").isNotNull()).select("error", "payload")
 
 
-def write_anomaly_log(batch: DataFrame, layout: Layout) -> int:
+def write_anomaly_log(rows: DataFrame, layout: Layout) -> int:
     """Insert-or-ignore one micro-batch into the log."""
-    batch.persist()
-    try:
-        content = [F.col(c) for c in batch.columns if c != "captured_at"]
-        first = [F.col("reading_ts").asc_nulls_last(), F.xxhash64(*content)]
-        return append_missing(
-            batch.sparkSession, layout, "anomaly_log", batch, first, copies_share_day=True
-        )
-    finally:
-        batch.unpersist()
-
-
-def write_dead_letters(batch: DataFrame, batch_id: int, layout: Layout) -> None:
+    content = [F.col(c) for c in rows.columns if c != "captured_at"]
+    first = [F.col("reading_ts").asc_nulls_last(), F.xxhash64(*content)]
+    return append_missing(rows.sparkSession, layout, "anomaly_log", rows, first)
+
+
+def write_dead_letters(letters: DataFrame, batch_id: int, layout: Layout) -> None:
     """Write one micro-batch to a folder of its own, so that a replay overwrites it."""
-    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    batch.write.mode("overwrite").json(f"{layout.dead_letters}/stream={stream}/batch={batch_id}")
+    stream = letters.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    letters.write.mode("overwrite").json(f"{layout.dead_letters}/stream={stream}/batch={batch_id}")
 
 
 def capture_anomalies(
     messages: DataFrame, layout: Layout, captured_at: datetime | None = None, **trigger,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the two streams: anomalies to the log, everything unusable to dead letters.
-
-    An id enters the log once. The ids seen are streaming state, kept for good and on
-    disk, so a micro-batch looks up its own ids and never reads the whole log. The state
-    commits with the micro-batch: an id counts as seen only when it has been written. On
-    top, a micro-batch skips ids that the log already holds for its days, which makes a
-    replay after a lost commit harmless.
+) -> StreamingQuery:
+    """Start the stream: anomalies to the log, everything unusable to dead letters.
+
+    The log itself is what is known of ids seen. A micro-batch keeps one copy of each id, the first by
+    event time, and joins its ids with the key column of the whole log, so a replay, a
+    redelivery on another day or a new checkpoint folder adds no id twice. Both outputs come from
+    one reading of the source; a micro-batch without dead letters writes none.
     """
     ensure_table(messages.sparkSession, layout, "anomaly_log")
-    every = trigger or {"processingTime": LANDING_INTERVAL}
-    judged = judge(messages)
-    captured = anomaly_rows(judged, captured_at).dropDuplicates(["reading_id"])
-    log = (
-        captured.writeStream
-        .foreachBatch(lambda batch, _: write_anomaly_log(batch, layout))
-        .option("checkpointLocation", layout.checkpoint("anomaly_log"))
-        .trigger(**every).start()
-    )
-    dead = (
-        dead_letters(judged).writeStream
-        .foreachBatch(lambda batch, batch_id: write_dead_letters(batch, batch_id, layout))
-        .option("checkpointLocation", layout.checkpoint("dead_letters"))
-        .trigger(**every).start()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write_anomaly_log(anomaly_rows(batch, captured_at), layout)
+            letters = dead_letters(batch)
+            if not letters.isEmpty():
+                write_dead_letters(letters, batch_id, layout)
+        finally:
+            batch.unpersist()
+
+    return (
+        judge(messages).writeStream.foreachBatch(write)
+        .option("checkpointLocation", layout.checkpoint("anomalies"))
+        .trigger(**(trigger or {"processingTime": LANDING_INTERVAL})).start()
     )
-    return log, dead

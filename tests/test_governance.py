@@ -1,7 +1,9 @@
 import pytest
 from pyspark.errors import AnalysisException
 
-from fabpulse.operators.governance import role_query, role_views
+from fabpulse.operators.governance import open_as, role_query, role_views
+from fabpulse.sources.tables import read_table
+from fabpulse.sinks.tables import ensure_table
 
 COUNTS = "SELECT machine_id, COUNT(*) AS n FROM fact_sensor_readings GROUP BY 1"
 AUDIT = "SELECT machine_id, _ingested_at FROM fact_sensor_readings LIMIT 3"
@@ -64,3 +66,50 @@ def test_other_mistakes_stay_analysis_errors(spark):
     session = role_views(spark, "analyst", LOADERS)
     with pytest.raises(AnalysisException):
         role_query(session, "analyst", "SELECT nonsense FROM fact_sensor_readings")
+
+
+def test_a_session_answers_its_own_role_only(spark):
+    session = role_views(spark, "engineer", LOADERS)
+    with pytest.raises(PermissionError, match="not opened as"):
+        role_query(session, "viewer", "SELECT * FROM anomaly_log")
+    with pytest.raises(PermissionError, match="not opened as"):
+        role_query(spark, "viewer", "SELECT 1")
+
+
+@pytest.mark.parametrize("call", ["java_method", "REFLECT", "try_reflect", "`java_method`"])
+def test_java_methods_are_refused(spark, call):
+    session = role_views(spark, "viewer", LOADERS)
+    with pytest.raises(PermissionError, match="Java"):
+        role_query(session, "viewer", f"SELECT {call} ('java.lang.System', 'getProperty', 'user.home')")
+
+
+def test_relations_of_other_sessions_are_refused(spark):
+    spark.range(3).createOrReplaceGlobalTempView("secret")
+    spark.sql("CREATE TABLE IF NOT EXISTS shared_secret USING parquet AS SELECT 1 AS x")
+    session = role_views(spark, "viewer", LOADERS)
+    try:
+        for text in ("SELECT * FROM global_temp.secret", "SELECT * FROM shared_secret",
+                     "SELECT * FROM default.shared_secret",
+                     "SELECT 1 WHERE EXISTS (SELECT * FROM global_temp.secret)",
+                     "WITH c AS (SELECT * FROM shared_secret) SELECT * FROM c"):
+            with pytest.raises(PermissionError, match="may not read"):
+                role_query(session, "viewer", text)
+    finally:
+        spark.catalog.dropGlobalTempView("secret")
+        spark.sql("DROP TABLE shared_secret")
+    assert role_query(session, "viewer", "WITH c AS (SELECT * FROM dim_machine) SELECT * FROM c").count() == 1
+
+
+@pytest.mark.parametrize(("role", "allowed"), [
+    ("engineer", (True, True, True)), ("analyst", (True, False, True)), ("viewer", (False, False, True))])
+def test_roles_over_a_stored_lake(spark, lake, role, allowed):
+    for name in ("fact_sensor_readings", "hourly_machine_summary", "anomaly_log", "dim_machine"):
+        ensure_table(spark, lake, name)
+    session = open_as(spark, role, lake)
+    for sql, may in zip((COUNTS, AUDIT, SUMMARY), allowed):
+        if may:
+            assert role_query(session, role, sql).count() == 0
+        else:
+            with pytest.raises(PermissionError):
+                role_query(session, role, sql)
+    assert read_table(spark, lake, "anomaly_log").count() == 0

@@ -112,7 +112,8 @@ def test_only_partitions_of_the_batch_are_replaced(spark, landed):
     build_silver(spark, landed, now=LOADED)
     land(landed, "2024-01-16", message("h"))
     metrics = build_silver(spark, landed, [date(2024, 1, 16)], now=datetime(2024, 3, 1))
-    assert metrics["partitions"] == 1 and metrics["silver_rows"] == 4
+    # Message a is not among them: the day before holds its first delivery.
+    assert metrics["partitions"] == 1 and metrics["silver_rows"] == 3
     times = read_silver(spark, landed.silver).groupBy("day", "_ingested_at").count()
     assert rows(times, "day", "_ingested_at") == [
         (15, LOADED), (16, datetime(2024, 3, 1))]
@@ -252,3 +253,59 @@ def test_job_arguments():
                   "2024-01-16", "--skip-silver", "--date", "2024-01-15"])
     assert args.partition == [date(2024, 1, 15), date(2024, 1, 16)]
     assert args.skip_silver and args.date == date(2024, 1, 15) and not args.once
+
+
+def silver_rows(spark, lake):
+    return rows(read_silver(spark, lake.silver), "message_id", "reading_value", "day")
+
+
+def days_of(*numbers):
+    return [date(2024, 1, n) for n in numbers]
+
+
+def test_an_emptied_day_is_gone(spark, lake):
+    land(lake, "2024-01-16", message("m", value="1", ts="2024-01-16T10:00:00+00:00"))
+    build_silver(spark, lake)
+    land(lake, "2024-01-17", message("m", value="2", ts="2024-01-15T10:00:00+00:00"))
+    assert build_silver(spark, lake)["silver_rows"] == 1
+    assert silver_rows(spark, lake) == [("m", 2.0, 17)]
+
+
+def test_corrected_rejects_leave_the_quarantine(spark, lake):
+    land(lake, "2024-01-16", message("a", value="n/a"), message("b"))
+    land(lake, "2024-01-17", message("c", value="bad"))
+    build_silver(spark, lake)
+    assert len(stored(lake.quarantine)) == 2
+    for file in Path(lake.bronze).glob("year=2024/month=01/day=16/*.json"):
+        file.write_text(file.read_text().replace("n/a", "5"))
+    assert build_silver(spark, lake, days_of(16))["quarantined"] == 0
+    assert len(stored(lake.quarantine)) == 1
+    assert build_silver(spark, lake)["quarantined"] == 1
+    assert silver_rows(spark, lake) == [("a", 5.0, 16), ("b", 50.0, 16)]
+
+
+@pytest.mark.parametrize("order", [(15, 16, 17), (17, 16, 15), (16, 15, 17)])
+def test_day_by_day_equals_one_run(spark, lake, tmp_path, order):
+    land(lake, "2024-01-15", message("a", value="1", ts="2024-01-15T10:00:00+00:00"),
+         message("b", value="2", ts="2024-01-15T11:00:00+00:00"), message("t", value="3", ts=None))
+    land(lake, "2024-01-16", message("a", value="4", ts="2024-01-14T10:00:00+00:00"),
+         message("t", value="5", ts="2024-01-16T10:00:00+00:00"), message("x", value="n/a"))
+    land(lake, "2024-01-17", message("b", value="6", ts="2024-01-15T11:00:00+00:00"),
+         message("a", value="7", ts="2024-01-17T10:00:00+00:00"))
+    for day in order:
+        build_silver(spark, lake, days_of(day))
+    found, rejects = silver_rows(spark, lake), stored(lake.quarantine)
+    build_silver(spark, lake)
+    assert found == silver_rows(spark, lake) == [("a", 4.0, 16), ("b", 2.0, 15), ("t", 5.0, 16)]
+    assert len(rejects) == 1
+
+
+def test_a_message_that_leaves_a_day_makes_way(spark, lake):
+    land(lake, "2024-01-15", message("a", value="1", ts="2024-01-15T10:00:00+00:00"))
+    land(lake, "2024-01-16", message("a", value="2", ts="2024-01-16T10:00:00+00:00"))
+    build_silver(spark, lake)
+    for file in Path(lake.bronze).glob("year=2024/month=01/day=15/*.json"):
+        file.unlink()
+    land(lake, "2024-01-15", message("z", value="9", ts="2024-01-15T10:00:00+00:00"))
+    build_silver(spark, lake, days_of(15))
+    assert silver_rows(spark, lake) == [("a", 2.0, 16), ("z", 9.0, 15)]

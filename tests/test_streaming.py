@@ -22,8 +22,7 @@ def topic(tmp_path):
 
 
 def capture(spark, lake, topic):
-    for stream in capture_anomalies(read_reading_stream(spark, topic), lake, availableNow=True):
-        stream.awaitTermination()
+    capture_anomalies(read_reading_stream(spark, topic), lake, availableNow=True).awaitTermination()
 
 
 def log(spark, lake, *columns):

@@ -111,8 +111,11 @@ def test_appending_counts_and_ignores_known_keys_on_any_day(spark, lake):
         ("a", 1.0), ("b", 2.0), ("c", 3.0)]
 
 
-def test_appending_copies_of_one_day_reads_that_day_only(spark, lake):
+def test_only_known_keys_of_the_batch_reach_the_second_join(spark, lake):
     by = [F.col("reading_ts").asc_nulls_last()]
-    batch = log_rows(spark, ("a", "2024-01-01 10:00:00", 1.0), ("b", None, 2.0))
-    for expected in (2, 0):
-        assert append_missing(spark, lake, "anomaly_log", batch, by, copies_share_day=True) == expected
+    many = log_rows(spark, *((f"r{i}", "2024-01-01 10:00:00", 1.0) for i in range(50)))
+    assert append_missing(spark, lake, "anomaly_log", many, by) == 50
+    late = log_rows(spark, ("r7", "2024-06-01 10:00:00", 2.0), ("new", "2024-06-01 10:00:00", 2.0))
+    assert append_missing(spark, lake, "anomaly_log", late, by) == 1
+    assert read_table(spark, lake, "anomaly_log").groupBy("reading_id").count().where(
+        "count > 1").count() == 0
