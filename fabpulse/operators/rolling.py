@@ -1,17 +1,17 @@
 """Rolling averages per machine: over readings, and over calendar days.
 
-The average over readings needs each machine's readings in order, and one machine may
-hold a large share of them, so a window per machine would be one endless task. The
-readings of a machine are cut into consecutive chunks instead, one per day and more for
-a crowded day, and the window runs per chunk. That is final for all readings but the
-first few of a chunk, whose predecessors are the last few of chunks before. These edges
-are few, so a second window, per machine, settles them. The result does not depend on
+The average over readings needs each machine's readings in order, and one machine may hold a
+large share of them, so a window per machine would be one endless task. All readings are put in
+order by a range partitioning instead, which cuts a machine wherever its readings fill a
+partition, and the window runs per machine and partition. That is final for all readings but the
+first few of a machine in a partition, whose predecessors are the last few in partitions before.
+These edges are few, so a second window, per machine, settles them. The result does not depend on
 where the cuts are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabpulse.operators.business import of_sensor
@@ -20,106 +20,52 @@ from fabpulse.session import settle
 ROLLING_READINGS = 7
 ROLLING_DAYS = 7
 
-# A (machine, day) with more readings than this is cut further.
-CHUNK_READINGS = 500_000
-# Cuts are kept in groups: a reading is compared with the first of each, then with one group.
-CUT_GROUP = 512
-MAX_CUTS = CUT_GROUP * CUT_GROUP
-# Up to this many cuts are broadcast (tens of MB), more are joined by a shuffle.
-MAX_BROADCAST_CUTS = 500_000
-
 _LATEST = (1 << 63) - 1
 _ORDER = ("_us", "reading_id")
 
 
 def rolling_avg_readings(
     fact: DataFrame, dim_sensor: DataFrame, sensor: str = "temperature",
-    readings: int = ROLLING_READINGS, chunk_readings: int = CHUNK_READINGS,
+    readings: int = ROLLING_READINGS,
 ) -> DataFrame:
     """One row per reading: the mean of it and the readings just before it.
 
     Readings of a machine are ordered by time, then id; those without a time come last.
+    This runs a job: the order of the readings is settled before anything is computed from it.
     """
     back = readings - 1
     micros = F.unix_micros(F.col("reading_ts").cast("timestamp"))
-    # Read once and for all: every pass below must see the same readings.
-    series = settle(
-        of_sensor(fact, dim_sensor, sensor).select(
-            "machine_id", "reading_id", "reading_value",
-            F.to_date("reading_ts").alias("reading_date"),
-            # Time as a number, in which a missing one sorts last.
-            F.coalesce(micros, F.lit(_LATEST)).alias("_us"),
-        )
-    )
-    in_chunk = Window.partitionBy("machine_id", "_chunk").orderBy(*_ORDER)
+    series = in_order(of_sensor(fact, dim_sensor, sensor).select(
+        "machine_id", "reading_id", "reading_value",
+        F.to_date("reading_ts").alias("reading_date"),
+        # Time as a number, in which a missing one sorts last.
+        F.coalesce(micros, F.lit(_LATEST)).alias("_us"),
+    ))
+    in_part = Window.partitionBy("machine_id", "_part").orderBy(*_ORDER)
     in_machine = Window.partitionBy("machine_id").orderBy(*_ORDER)
     mean = F.avg("reading_value")
-    chunks = _with_chunks(series, chunk_readings).select(
+    parts = series.select(
         "machine_id", "reading_date", "reading_id", "reading_value", "_us",
-        mean.over(in_chunk.rowsBetween(-back, 0)).alias("rolling_avg_7d"),
-        (F.row_number().over(in_chunk) <= back).alias("_head"),
-        F.lead("_us", back).over(in_chunk).isNull().alias("_tail"),
+        mean.over(in_part.rowsBetween(-back, 0)).alias("rolling_avg_7d"),
+        (F.row_number().over(in_part) <= back).alias("_head"),
+        F.lead("_us", back).over(in_part).isNull().alias("_tail"),
     )
-    inner = chunks.filter("NOT _head")
-    # All of the `back` readings before a head are heads of its chunk or tails.
+    inner = parts.filter("NOT _head")
+    # All of the `back` readings before a head are heads of its part or tails.
     heads = (
-        chunks.filter("_head OR _tail")
+        parts.filter("_head OR _tail")
         .withColumn("rolling_avg_7d", mean.over(in_machine.rowsBetween(-back, 0)))
         .filter("_head")
     )
     columns = ["machine_id", "reading_date", "reading_id", "_us", "rolling_avg_7d"]
-    # The sort samples its input before it shuffles it: settled, that is no second run
-    # of the windows.
-    result = settle(inner.select(*columns).unionByName(heads.select(*columns)))
+    result = inner.select(*columns).unionByName(heads.select(*columns))
     return result.orderBy("machine_id", *_ORDER).drop("_us")
 
 
-def _with_chunks(series: DataFrame, chunk_readings: int) -> DataFrame:
-    """Number the chunk of every reading: its day, then its place among the day's cuts."""
-    dated = series.withColumn(
-        "_day", F.coalesce(F.unix_date("reading_date"), F.lit(_LATEST >> 32)).cast("bigint")
-    )
-    # At most one row per `chunk_readings` readings, and none on ordinary data.
-    crowded = settle(
-        dated.groupBy("machine_id", "_day")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > chunk_readings)
-    )
-    # Cut at readings picked by the hash of their id, about `parts` per crowded day:
-    # the cuts follow the data, however unevenly it lies in time.
-    parts = F.least(F.ceil(F.col("_n") / chunk_readings), F.lit(MAX_CUTS))
-    total = crowded.agg(F.sum(parts)).first()[0]
-    if total is None:
-        return dated.withColumn("_chunk", F.shiftleft("_day", 32)).drop("_day")
-    small = total <= MAX_BROADCAST_CUTS
-    picked = F.pmod(F.xxhash64("reading_id"), F.ceil(F.col("_n") / parts)) == 0
-    here = F.struct("_us", "reading_id")
-    cuts = (
-        dated.join(F.broadcast(crowded) if small else crowded, ["machine_id", "_day"])
-        .filter(picked)
-        .groupBy("machine_id", "_day")
-        .agg(F.sort_array(F.collect_list(here)).alias("_cuts"))
-        .withColumn("_starts", F.sequence(F.lit(1), F.size("_cuts"), F.lit(CUT_GROUP)))
-        .select(
-            "machine_id", "_day",
-            F.transform("_starts", lambda i: F.element_at("_cuts", i)).alias("_firsts"),
-            F.transform("_starts", lambda i: F.slice("_cuts", i, CUT_GROUP)).alias("_groups"),
-        )
-    )
-
-    def passed(among) -> Column:
-        return F.size(F.filter(among, lambda cut: cut <= here))
-
-    group = F.when(F.col("_firsts").isNull(), 0).otherwise(passed("_firsts"))
-    place = F.when(F.col("_group") == 0, 0).otherwise(
-        (F.col("_group") - 1) * CUT_GROUP + passed(F.element_at("_groups", F.col("_group")))
-    )
-    return (
-        dated.join(F.broadcast(cuts) if small else cuts, ["machine_id", "_day"], "left")
-        .withColumn("_group", group)
-        .withColumn("_chunk", F.shiftleft("_day", 32) + place)
-        .drop("_firsts", "_groups", "_group", "_day")
-    )
+def in_order(series: DataFrame) -> DataFrame:
+    """The readings by machine, time and id, with the number of the range partition each is in."""
+    ranges = series.repartitionByRange("machine_id", *_ORDER)
+    return settle(ranges.withColumn("_part", F.spark_partition_id()))
 
 
 def rolling_avg_days(

@@ -44,30 +44,41 @@ def random_readings(seed, n):
     return out
 
 
-@pytest.mark.parametrize(("chunk", "small"), [
-    (5, True), (45, True), (45, False), (1_000_000, True),
-])
-def test_chunks_do_not_change_the_average(spark, monkeypatch, chunk, small):
-    monkeypatch.setattr(rolling, "MAX_BROADCAST_CUTS", 500_000 if small else 0)
-    monkeypatch.setattr(rolling, "CUT_GROUP", 4)
+@pytest.fixture
+def cut_in(spark):
+    """Set the number of range partitions, and undo it."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {key: spark.conf.get(key) for key in keys}
+
+    def set_parts(parts):
+        spark.conf.set(keys[0], str(parts))
+        spark.conf.set(keys[1], "false")
+
+    yield set_parts
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 45, 120])
+def test_cuts_do_not_change_the_average(spark, cut_in, parts):
+    cut_in(parts)
     readings = random_readings(7, 600)
     fact = spark.createDataFrame(readings, SCHEMA)
     sensors = seed_dimensions(spark)["dim_sensor"]
-    got = rolling_avg_readings(fact, sensors, chunk_readings=chunk).collect()
+    got = rolling_avg_readings(fact, sensors).collect()
     assert len(got) == len(readings)
     want = expected(readings)
     for row in got:
         assert row.rolling_avg_7d == pytest.approx(want[row.machine_id, row.reading_id])
 
 
-def test_crowded_days_are_really_cut(spark):
+def test_a_crowded_machine_is_really_cut(spark, cut_in):
+    cut_in(30)
     readings = random_readings(3, 600)
     fact = spark.createDataFrame(readings, SCHEMA)
     series = fact.selectExpr(
-        "machine_id", "reading_id", "reading_value", "to_date(reading_ts) AS reading_date",
-        "coalesce(unix_micros(reading_ts), 9223372036854775807) AS _us",
-    )
-    sizes = rolling._with_chunks(series, 20).groupBy("machine_id", "_chunk").count().collect()
+        "machine_id", "reading_id", "coalesce(unix_micros(reading_ts), 9223372036854775807) AS _us")
+    sizes = rolling.in_order(series).groupBy("machine_id", "_part").count().collect()
     assert max(r["count"] for r in sizes) < 120 and len(sizes) > 25
 
 
