@@ -25,7 +25,8 @@ HEADLINE = (
     "bq04_rolling_avg", "bq04_rolling_avg_daily", "hourly_summary",
     "dash_temperature", "dash_live_readings", "dash_anomalies",
     "dash_machine_summary", "dash_anomaly_rate",
-    "stream_bronze", "stream_anomalies",
+    "stream_bronze", "stream_anomalies", "stream_dead_letters",
+    "batch_fact", "dash_export_stats", "table_row_counts", "silver_incremental",
 )
 
 

@@ -55,7 +55,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     })
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
-    for name in names or QUERIES:
+    for name in names or ORACLES:
         start = time.time()
         problem = differences(QUERIES[name](spark, sf_dir), oracle_frame(sf_dir, ORACLES[name]))
         failed += problem is not None

@@ -6,12 +6,13 @@ each rule of the pipeline has something to act on at any scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.functions.rules import lookup
 from fabpulse.operators.gold import fact_rows
 from fabpulse.operators.silver import refine, type_readings
+from fabpulse.schemas import MESSAGE
 from fabpulse.sources.dimensions import seed_dimensions
 
 SENSOR_OF_EVENT = {
@@ -33,36 +34,61 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(events: DataFrame) -> DataFrame:
-    """Messages as received: text fields only, with faults and second deliveries."""
-    event, kind, value = F.col("event_id"), F.col("event_type"), F.col("value")
+    """Messages as received: text fields only, with faults and second deliveries.
+
+    `arrived` is the day of the delivery, `no_status` marks messages that lack the field.
+    """
+    event, kind = F.col("event_id"), F.col("event_type")
     alarm = F.coalesce(*[
-        F.when((kind == k) & (value > limit), status)
+        F.when((kind == k) & (F.col("value") > limit), status)
         for k, (status, limit) in ALARM_OF_EVENT.items()
     ], F.lit("NORMAL"))
-    # Injected on top of all events: a second delivery, one second later.
+    # Injected on top of all events: a second delivery with another value, a second or a day later.
     deliveries = F.when(event % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    again = F.col("late") == 1
+    delay = F.when(~again, 0).when(event % 100 == 0, 86_400).otherwise(1)
+    value = F.when(
+        again, (F.col("value").cast("decimal(18,2)") + 1).cast("string")
+    ).otherwise(F.col("value").cast("string"))
+    time = F.col("ts") + F.make_dt_interval(secs=delay.cast("decimal(18,6)"))
     return events.select("*", F.explode(deliveries).alias("late")).select(
-        event.cast("string").alias("message_id"),
+        F.when(event % 101 != 0, event.cast("string")).alias("message_id"),
         F.concat(F.lit("MACHINE_0"), (F.col("user_id") % 6 + 1).cast("string"))
         .alias("machine_id"),
+        F.lit("device").alias("machine_type"),
         F.coalesce(lookup(kind, SENSOR_OF_EVENT), F.lit("humidity")).alias("sensor_type"),
-        F.when(event % 97 == 0, "n/a").otherwise(value.cast("string")).alias("value"),
-        F.when(event % 83 == 0, None).when(event % 89 == 0, "NORMAL").otherwise(alarm)
-        .alias("status"),
-        (F.col("ts") + F.make_dt_interval(secs=F.col("late").cast("decimal(18,6)")))
-        .cast("string").alias("ts"),
+        F.when(event % 97 == 0, "n/a").when(event % 131 != 0, value).alias("value"),
+        F.lit("unit").alias("unit"), F.lit("Plant-A").alias("location"),
+        F.when((event % 83 == 0) | (event % 113 == 0), None).when(event % 89 == 0, "NORMAL")
+        .otherwise(alarm).alias("status"),
+        F.lit("device").alias("shift"),
+        F.when(~again & (event % 103 == 0), "not a time").when(again | (event % 107 != 0), time.cast("string"))
+        .alias("ts"),
+        F.lit("v1").alias("firmware_ver"),
+        F.to_date(time).alias("arrived"), (event % 113 == 0).alias("no_status"), event.alias("event"),
     )
 
 
 def payloads(events: DataFrame) -> DataFrame:
-    """Messages as JSON text. A NULL field is a JSON null, as devices send it."""
+    """Messages as JSON text by day of arrival, with some lines that are not JSON.
+
+    A NULL field is a JSON null, as devices send it, unless the field is missing.
+    """
     fields = messages(events)
-    body = F.to_json(F.struct(*fields.columns), {"ignoreNullFields": "false"})
-    return fields.select(body.alias("payload"))
+    names = [name for name in fields.columns if name in MESSAGE.fieldNames()]
+
+    def body(columns: list[str]) -> Column:
+        return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+    whole = F.when(F.col("no_status"), body([n for n in names if n != "status"])).otherwise(body(names))
+    broken = F.concat(F.lit("{bad "), F.col("event").cast("string"))
+    lines = F.when(F.col("event") % 109 == 0, F.array(whole, broken)).otherwise(F.array(whole))
+    return fields.select(F.explode(lines).alias("payload"), "arrived")
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return type_readings(messages(read_events(spark, sf_dir)))
+    fields = messages(read_events(spark, sf_dir))
+    return type_readings(fields.select(*MESSAGE.fieldNames()))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

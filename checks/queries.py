@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,20 +14,24 @@ from fabpulse.config import ANOMALY_THRESHOLDS
 from fabpulse.functions.days import within_days
 from fabpulse.functions.rules import device_status, rounded
 from fabpulse.layout import Layout
-from fabpulse.operators import business, checks, dashboards, rolling
+from fabpulse.operators import business, checks, rolling
 from fabpulse.operators.gold import fact_rows, orphans
-from fabpulse.operators.governance import role_query, role_views
+from fabpulse.operators.governance import open_as, role_query, role_views
 from fabpulse.operators.rollup import hourly_rollup
-from fabpulse.operators.silver import split_quarantine, type_readings, with_is_anomaly, with_shift
+from fabpulse.operators.silver import split_quarantine, with_is_anomaly, with_shift
 from fabpulse.operators.upsert import insert_or_ignore, insert_or_replace
 from fabpulse.plans.batch import run_batch
-from fabpulse.plans.dashboards import datasets
+from fabpulse.plans.dashboards import build_dashboards, datasets
 from fabpulse.plans.gold import build_gold
-from fabpulse.schemas import ARRIVAL_COLUMNS, MESSAGE, PARTITION_DAY
+from fabpulse.plans.hourly import run_hourly
+from fabpulse.plans.reports import run_business_queries
+from fabpulse.plans.silver import build_silver
+from fabpulse.schemas import ARRIVAL_COLUMNS, BRONZE, MESSAGE, PARTITION_DAY
 from fabpulse.session import own_session, scratch_folder
 from fabpulse.sources.bronze import read_bronze
 from fabpulse.sources.dimensions import dim_date, seed_dimensions
-from fabpulse.sources.tables import read_table
+from fabpulse.sources.literal import literal_rows
+from fabpulse.sources.tables import read_silver, read_table
 from fabpulse.streaming.anomalies import capture_anomalies
 from fabpulse.streaming.landing import write_bronze_stream
 from fabpulse.streaming.source import read_reading_stream
@@ -38,6 +41,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 DAY = date(2024, 1, 15)
 UPTIME_INTERVAL_S = 3600
 FIELDS = ["message_id", "machine_id", "sensor_type", "value", "status", "ts"]
+SILVER_FIELDS = ["message_id", "machine_id", "sensor_type", "status", "reading_value", "reading_ts",
+                 "is_anomaly", "shift"]
 AUDIT = ["_ingested_at", "_loaded_at", PARTITION_DAY]
 
 QUERIES: dict[str, Query] = {}
@@ -63,22 +68,24 @@ def new_lake(spark: SparkSession) -> Layout:
 def landed(spark: SparkSession, sf_dir: str) -> Layout:
     """A lake whose Bronze holds the feed, as if each message had arrived on its day."""
     lake = new_lake(spark)
-    lines = feed.payloads(feed.read_events(spark, sf_dir))
-    arrived = F.to_date(F.get_json_object("payload", "$.ts"))
+    land(feed.payloads(feed.read_events(spark, sf_dir)), lake)
+    return lake
+
+
+def land(lines: DataFrame, lake: Layout) -> None:
     patterns = zip(ARRIVAL_COLUMNS, ("yyyy", "MM", "dd"), strict=True)
     lines.select(
-        F.col("payload").alias("value"), *[F.date_format(arrived, p).alias(c) for c, p in patterns]
-    ).write.partitionBy(*ARRIVAL_COLUMNS).text(lake.bronze)
-    return lake
+        F.col("payload").alias("value"),
+        *[F.date_format("arrived", p).alias(c) for c, p in patterns],
+    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*ARRIVAL_COLUMNS).text(lake.bronze)
 
 
-def payload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as a stream of payloads."""
-    events = (
-        spark.readStream.schema(feed.EVENTS)
-        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    return feed.payloads(events)
+def topic(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as a folder of message texts."""
+    folder = scratch_folder(spark, "topic")
+    feed.payloads(feed.read_events(spark, sf_dir)).select("payload").write.mode("overwrite").text(folder)
+    return folder
 
 
 # --- Bronze and Silver ---------------------------------------------------------------
@@ -106,12 +113,47 @@ def quarantine(spark, sf_dir):
 
 @query
 def silver_readings(spark, sf_dir):
-    return feed.silver(spark, sf_dir).drop("value", "ts")
+    return feed.silver(spark, sf_dir).select(*SILVER_FIELDS)
 
 
 @query
 def run_metrics(spark, sf_dir):
-    return checks.run_metrics(feed.typed(spark, sf_dir))
+    """The numbers that the Silver job reports."""
+    metrics = build_silver(spark, landed(spark, sf_dir))
+    return literal_rows(spark, [tuple(metrics.values())], T.StructType([
+        T.StructField(name, T.LongType()) for name in metrics]))
+
+
+@query
+def silver_files(spark, sf_dir):
+    """Silver as stored, after one run over all days and another."""
+    lake = landed(spark, sf_dir)
+    for _ in range(2):
+        build_silver(spark, lake)
+    return read_silver(spark, lake.silver).select(*SILVER_FIELDS)
+
+
+@query
+def silver_incremental(spark, sf_dir):
+    """Silver as stored after runs over some days at a time, the latest first."""
+    lake = landed(spark, sf_dir)
+    days = [r[0] for r in feed.payloads(feed.read_events(spark, sf_dir)).select("arrived").distinct().collect()]
+    for rest in (2, 1, 0):
+        build_silver(spark, lake, [day for day in days if day.day % 3 == rest])
+    return read_silver(spark, lake.silver).select(*SILVER_FIELDS)
+
+
+@query
+def quarantine_files(spark, sf_dir):
+    """The quarantine as stored after all lines of some days were bad, and then corrected."""
+    lake = new_lake(spark)
+    lines = feed.payloads(feed.read_events(spark, sf_dir))
+    spoiled = F.when(F.dayofmonth("arrived") % 10 == 5, F.lit("{spoiled")).otherwise(F.col("payload"))
+    land(lines.withColumn("payload", spoiled), lake)
+    build_silver(spark, lake)
+    land(lines, lake)
+    build_silver(spark, lake)
+    return spark.read.schema(BRONZE).json(lake.quarantine).select(*FIELDS)
 
 
 @query
@@ -193,15 +235,17 @@ def gold_orphans(spark, sf_dir):
 
 @query
 def constraint_violations(spark, sf_dir):
-    """A fact table loaded without deduplication, and a dimension that lost a machine."""
+    """A fact table with repeated and missing keys, and dimensions with lost, repeated and empty rows."""
     seeds = seed_dimensions(spark)
-    good, _ = split_quarantine(feed.typed(spark, sf_dir))
-    raw_fact = fact_rows(
-        with_shift(with_is_anomaly(good)), seeds["dim_machine"], seeds["dim_sensor"]
-    )
+    machines, sensors = seeds["dim_machine"], seeds["dim_sensor"]
+    valued = feed.typed(spark, sf_dir).filter("reading_value IS NOT NULL")
+    raw_fact = fact_rows(with_shift(with_is_anomaly(valued)), machines, sensors)
+    nameless = F.when(F.col("machine_sk") != 3, F.col("machine_id"))
     return checks.constraint_violations({
-        "dim_machine": seeds["dim_machine"].filter("machine_id <> 'MACHINE_05'"),
-        "dim_sensor": seeds["dim_sensor"],
+        "dim_machine": machines.filter("machine_sk <> 5").withColumn("machine_id", nameless)
+        .union(machines.filter("machine_sk = 1")),
+        "dim_sensor": sensors.union(
+            sensors.filter("sensor_sk = 4").withColumn("sensor_sk", F.lit(None).cast("int"))),
         "fact_sensor_readings": raw_fact,
     })
 
@@ -218,7 +262,9 @@ def upsert_ignore(spark, sf_dir):
     loaded = within_days(fact, "reading_ts", date(2024, 1, 1), date(2024, 1, 16)).withColumn(
         "reading_value", F.lit(-1.0)
     )
-    return insert_or_ignore(loaded, every_delivery, ["reading_id"], [F.col("reading_ts")]).select(
+    return insert_or_ignore(
+        loaded, every_delivery, ["reading_id"], [F.col("reading_ts").asc_nulls_last()]
+    ).select(
         "reading_id", "machine_sk", "sensor_sk", "reading_value", "reading_ts"
     )
 
@@ -310,11 +356,50 @@ for _name in (*ANOMALY_THRESHOLDS, "live_readings", "anomalies", "machine_summar
 
 @query
 def dash_export_stats(spark, sf_dir):
-    stats = [
-        dashboards.export_stats(name, dataset)
-        for name, dataset in datasets(feed.gold(spark, sf_dir)["fact_sensor_readings"]).items()
-    ]
-    return _or_na(reduce(DataFrame.unionByName, stats), "anomaly_rows")
+    """The numbers that the dashboard job reports."""
+    stats = build_dashboards(spark, stored_gold(spark, sf_dir))
+    rows = [(name, *counts.values()) for name, counts in stats.items()]
+    return _or_na(literal_rows(spark, rows, T.StructType([
+        T.StructField("dataset", T.StringType()), T.StructField("row_count", T.LongType()),
+        T.StructField("anomaly_rows", T.LongType())])), "anomaly_rows")
+
+
+@query
+def dash_stored(spark, sf_dir):
+    """A listing as the job wrote it."""
+    lake = stored_gold(spark, sf_dir)
+    build_dashboards(spark, lake)
+    return spark.read.schema(
+        "machine STRING, sensor STRING, value DOUBLE, ts STRING, status STRING, shift STRING,"
+        " is_anomaly BOOLEAN").json(f"{lake.dashboards}/live_readings")
+
+
+def stored_gold(spark: SparkSession, sf_dir: str) -> Layout:
+    """A lake that holds Silver and Gold of the feed."""
+    lake = landed(spark, sf_dir)
+    build_silver(spark, lake)
+    build_gold(spark, lake)
+    return lake
+
+
+@query
+def hourly_stored(spark, sf_dir):
+    """The stored summaries of a day, after two runs."""
+    lake = stored_gold(spark, sf_dir)
+    for _ in range(2):
+        run_hourly(spark, lake, DAY)
+    return _rounded(read_table(spark, lake, "hourly_machine_summary"))
+
+
+@query
+def report_stored(spark, sf_dir):
+    """A report as the job wrote it."""
+    lake = stored_gold(spark, sf_dir)
+    tables = {name: read_table(spark, lake, name) for name in ("fact_sensor_readings", "dim_sensor")}
+    outcome = run_business_queries(tables, DAY, f"{lake.root}/reports", ["hot_machines"])["hot_machines"]
+    if outcome.error:
+        raise RuntimeError(outcome.error)
+    return outcome.read(spark)
 
 
 def _or_na(df: DataFrame, column: str) -> DataFrame:
@@ -378,6 +463,22 @@ def role_viewer_summary(spark, sf_dir):
     )
 
 
+@query
+def role_over_lake(spark, sf_dir):
+    session = open_as(spark, "engineer", stored_gold(spark, sf_dir))
+    return role_query(
+        session, "engineer",
+        "SELECT machine_id, COUNT(*) AS n FROM fact_sensor_readings GROUP BY 1",
+    )
+
+
+@query
+def role_sample(spark, sf_dir):
+    """Some rows, which ones is not defined."""
+    session = open_as(spark, "analyst", stored_gold(spark, sf_dir))
+    return role_query(session, "analyst", "SELECT * FROM fact_sensor_readings LIMIT 3")
+
+
 # --- Whole runs on files and streams --------------------------------------------------
 
 
@@ -395,21 +496,41 @@ def batch_fact(spark, sf_dir):
 @query
 def stream_bronze(spark, sf_dir):
     lake = new_lake(spark)
-    write_bronze_stream(payload_stream(spark, sf_dir), lake, availableNow=True).awaitTermination()
+    messages = read_reading_stream(spark, topic(spark, sf_dir))
+    write_bronze_stream(messages, lake, availableNow=True).awaitTermination()
     return read_bronze(spark, lake.bronze).select(*FIELDS)
 
 
 def _captured(spark, sf_dir) -> Layout:
     lake = new_lake(spark)
-    capture_anomalies(payload_stream(spark, sf_dir), lake, availableNow=True).awaitTermination()
+    messages = read_reading_stream(spark, topic(spark, sf_dir))
+    capture_anomalies(messages, lake, availableNow=True).awaitTermination()
     return lake
 
 
+CAPTURED = ["reading_id", "machine_id", "sensor_type", "reading_value", "status", "reading_ts"]
+
+
 @query
 def stream_anomalies(spark, sf_dir):
-    """Which delivery of an id came first is not defined, so its time is left out."""
-    log = read_table(spark, _captured(spark, sf_dir), "anomaly_log")
-    return log.select("reading_id", "machine_id", "sensor_type", "reading_value", "status")
+    return read_table(spark, _captured(spark, sf_dir), "anomaly_log").select(*CAPTURED)
+
+
+class SecondStream(Layout):
+    """The same lake, for a stream that starts with a checkpoint folder of its own."""
+
+    def checkpoint(self, stream: str) -> str:
+        return f"{self.root}/checkpoints/second-{stream}"
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """The log after all messages came again, a day later, to a stream that knows of nothing."""
+    lake = SecondStream(_captured(spark, sf_dir).root)
+    day_later = F.regexp_replace("payload", r'"ts":"2024-01-', '"ts":"2024-02-').alias("payload")
+    again = read_reading_stream(spark, topic(spark, sf_dir)).select(day_later)
+    capture_anomalies(again, lake, availableNow=True).awaitTermination()
+    return read_table(spark, lake, "anomaly_log").select(*CAPTURED)
 
 
 @query

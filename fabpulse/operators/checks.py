@@ -1,4 +1,4 @@
-"""Row counts, run metrics and constraint checks, each a small DataFrame."""
+"""Row counts and constraint checks, each a small DataFrame."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabpulse.operators.silver import is_rejected
 from fabpulse.schemas import TABLES, Table
 
 
@@ -28,21 +27,6 @@ def table_row_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]
     return reduce(DataFrame.unionByName, counts)
 
 
-def run_metrics(typed: DataFrame) -> DataFrame:
-    """One row: messages read, rejected, undated and repeated."""
-    accepted = ~is_rejected()
-    return typed.agg(
-        F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(is_rejected()).alias("quarantined"),
-        F.count_if(accepted & F.col("reading_ts").isNull()).alias("undated"),
-        F.count_if(accepted).alias("accepted"),
-        F.count_distinct(F.when(accepted, F.col("message_id"))).alias("silver_rows"),
-    ).select(
-        "input_rows", "quarantined", "undated", "silver_rows",
-        (F.col("accepted") - F.col("silver_rows")).alias("duplicates"),
-    )
-
-
 def constraint_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per rule of the tables given, with the number of violations.
 

@@ -106,10 +106,3 @@ def export_counts(dataset: DataFrame) -> list[Column]:
         else F.max(F.lit(None).cast("bigint"))
     )
     return [F.count(F.lit(1)).alias("row_count"), flagged.alias("anomaly_rows")]
-
-
-def export_stats(name: str, dataset: DataFrame) -> DataFrame:
-    """The counts of one dataset as a row."""
-    return dataset.agg(*export_counts(dataset)).select(
-        F.lit(name).alias("dataset"), "row_count", "anomaly_rows"
-    )

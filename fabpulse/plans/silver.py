@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.layout import Layout
 from fabpulse.operators.silver import is_rejected, refine, split_quarantine, type_readings
 from fabpulse.schemas import ARRIVAL_COLUMNS, CORRUPT_RECORD, SILVER
-from fabpulse.session import observing, settle
+from fabpulse.session import file_system, observing, settle
 from fabpulse.sinks.files import drop_days, write_quarantine, write_silver
 from fabpulse.sources.bronze import arrival_date, read_bronze
 from fabpulse.sources.tables import read_silver
@@ -117,9 +116,7 @@ def _delivery() -> list[Column]:
 
 
 def _silver_or_empty(spark: SparkSession, layout: Layout) -> DataFrame:
-    try:
+    path, files = file_system(spark, layout.silver)
+    if files.exists(path):
         return read_silver(spark, layout.silver)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], SILVER)
-        raise
+    return spark.createDataFrame([], SILVER)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 ARROW_TYPES = {
     T.IntegerType(): pa.int32(),
     T.StringType(): pa.string(),
+    T.LongType(): pa.int64(),
     T.DoubleType(): pa.float64(),
     T.BooleanType(): pa.bool_(),
     T.DateType(): pa.date32(),

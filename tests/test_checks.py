@@ -10,7 +10,7 @@ from checks.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, name):
     expected = oracle_frame(SF_DIR, ORACLES[name])
     assert differences(QUERIES[name](spark, SF_DIR), expected) is None
@@ -22,3 +22,8 @@ def test_entry(spark):
 
 def test_everything_is_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
+
+
+def test_a_sample_has_some_rows_without_hidden_columns(spark):
+    sample = QUERIES["role_sample"](spark, SF_DIR)
+    assert sample.count() == 3 and "_loaded_at" not in sample.columns
