@@ -10,7 +10,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from fabpulse.llm import byte_bpe
+from fabpulse.llm import byte_bpe, words
 
 PATTERN = public_tokenizers.PATTERN
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -48,13 +48,13 @@ def test_pairs_out_of_rank_order_fall_back():
 
 
 def test_memory_of_chunks_is_bounded(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "KNOWN_CHUNKS", 5)
+    monkeypatch.setattr(words, "KNOWN_CHUNKS", 5)
+    monkeypatch.setattr(words, "GROUP_CHARS", 30)
     monkeypatch.setattr(byte_bpe, "NEW_CHUNKS", 3)
-    monkeypatch.setattr(byte_bpe, "GROUP_CHARS", 30)
     encoder = byte_bpe.Encoder(RANKS, PATTERN)
     texts = [f"some words number {i} of {i * i}" for i in range(50)]
     assert encoder.encode(texts) == list(map(expected, texts))
-    assert len(encoder.known) < 40
+    assert len(encoder.memory.known) < 40
 
 
 def test_query_rows(documents):

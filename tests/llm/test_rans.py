@@ -72,6 +72,14 @@ def expected(rows, end=2):
         start += len(ids)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("  \n\t\x1c\x85 　᠎​aabbeérs'tldvm12.,!<|>日😀", max_size=40),
+                max_size=6))
+def test_chunks_tokenise_as_whole_texts_do(texts):
+    expected = [np.array(TOKENIZER.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert rans._tokenizer(DEFINITION).encode(texts) == expected
+
+
 def test_store(documents, llm, tmp_path, monkeypatch):
     rows = [(i * 7 % 101, f"Text {i}  with <|endoftext|> é\n\n " * (i % 9)) for i in range(101)]
     rows += [(500, None), (501, ""), (502, "long text 日本 " * 30_000), (None, "no id")]
