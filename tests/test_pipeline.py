@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import land, message, rows
+from helpers import land, message, rows
 from fabpulse.__main__ import parse
 from fabpulse.operators.checks import constraint_violations, table_row_counts
 from fabpulse.plans import dashboards

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from conftest import message, publish, rows
+from helpers import message, publish, rows
 from fabpulse.sources.bronze import read_bronze
 from fabpulse.sources.tables import read_table
 from fabpulse.streaming import anomalies

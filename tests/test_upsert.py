@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from fabpulse.operators.dedup import first_per_key
 from fabpulse.operators.upsert import insert_or_ignore, insert_or_replace, rows_to_insert
 from fabpulse.schemas import TABLES
