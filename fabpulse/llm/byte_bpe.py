@@ -16,6 +16,7 @@ Defined results: a null text encodes as the empty one, to no ids. Special tokens
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import chain
@@ -26,11 +27,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fabpulse.llm.words import spaced_chunks
+from fabpulse.llm.words import ChunkMemory
 
-GROUP_CHARS = 1 << 22  # of texts whose chunks are looked up together
-NEW_CHUNKS = 200_000  # whose pieces are encoded together
-KNOWN_CHUNKS = 500_000  # remembered by a worker
+NEW_CHUNKS = 100_000  # whose pieces are encoded together
 
 
 class Partners:
@@ -178,14 +177,15 @@ def _leftmost(chained: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts group by group, remembering the ids of chunks."""
+    """Encodes texts to ids, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, content: bytes, pattern: str):
         self.merges = Merges(content)
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        self.memory = ChunkMemory(self._learn, NEW_CHUNKS)
+        self.encode = self.memory.encode
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> Iterator[bytes]:
         split = [self.split(chunk) for chunk in chunks]
         pieces = list(chain.from_iterable(split))
         points = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
@@ -196,30 +196,7 @@ class Encoder:
         ids, ends = self.merges.replay(raw, np.diff(edges, prepend=0))
         last = np.cumsum(np.fromiter(map(len, split), int, len(split))) - 1
         coded, cuts = ids.astype("<u4").tobytes(), (4 * ends[last]).tolist()
-        for chunk, low, high in zip(chunks, [0, *cuts], cuts):
-            self.known[chunk] = coded[low:high]
-
-    def group(self, texts: list[str]) -> list[bytes]:
-        parts = [spaced_chunks(text) for text in texts]
-        used = set(chain.from_iterable(parts))
-        if len(self.known) > KNOWN_CHUNKS:  # forget what is not in use
-            self.known = {chunk: self.known[chunk] for chunk in used if chunk in self.known}
-        new = list(used.difference(self.known))
-        for low in range(0, len(new), NEW_CHUNKS):
-            self._learn(new[low:low + NEW_CHUNKS])
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        found: list[bytes] = []
-        group, size = [], 0
-        for text in texts:
-            group.append(text or "")
-            size += len(group[-1])
-            if size >= GROUP_CHARS:
-                found += self.group(group)
-                group, size = [], 0
-        return found + self.group(group)
+        return (coded[low:high] for low, high in zip([0, *cuts], cuts))
 
 
 @lru_cache(maxsize=2)

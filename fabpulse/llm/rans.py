@@ -23,7 +23,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.llm.scratch import stored
-from fabpulse.llm.words import spaced_chunks
+from fabpulse.llm.words import GROUP_CHARS, ChunkMemory, is_word
 
 # The coder: states in [LOW, LOW << 32), 32-bit words, frequencies that sum to 1 << PRECISION.
 PRECISION, LOW = 20, np.uint64(1 << 31)
@@ -42,9 +41,7 @@ BLOCK_TOKENS = 1 << 18
 HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, steps between checkpoints, words, crc32
 MAGIC = b"RNS1"
 
-GROUP_CHARS = 1 << 22  # of texts whose chunks are looked up together
-NEW_CHUNKS = 50_000  # tokenised together
-KNOWN_CHUNKS = 500_000  # remembered by a worker
+NEW_CHUNKS = 2_048  # tokenised together
 
 DRAFT = ("part int, block long, start long, doc_ids array<bigint>, sizes array<int>, "
          "crcs array<bigint>, ids binary")
@@ -157,7 +154,11 @@ class CodedBlock:
 
 
 class ChunkTokenizer:
-    """A tokenizer of the tokenizers library that remembers the ids of chunks."""
+    """Encodes texts by a tokenizer of the tokenizers library, as little-endian 32-bit integers.
+
+    New words are given to it many at a time, one to a line: the splitting pattern sets a line end
+    between words apart, so its id tells where each word's ids end.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -165,21 +166,23 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        parts = [spaced_chunks(text or "") for text in texts]
-        used = set(chain.from_iterable(parts))
-        if len(self.known) > KNOWN_CHUNKS:  # forget what is not in use
-            self.known = {chunk: self.known[chunk] for chunk in used if chunk in self.known}
-        new = list(used.difference(self.known))
-        for low in range(0, len(new), NEW_CHUNKS):
-            some = new[low:low + NEW_CHUNKS]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.known.update((chunk, array("I", coded.ids).tobytes())
-                              for chunk, coded in zip(some, found))
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
+        self.line_end = self._ids("\n")
+        self.encode = ChunkMemory(self._learn, NEW_CHUNKS).encode
+
+    def _ids(self, text: str) -> array:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        plain = list(map(is_word, chunks)) if len(self.line_end) == 1 else [False] * len(chunks)
+        lines = "\n".join(chunk for chunk, word in zip(chunks, plain) if word) + "\n"
+        found = self.tokenizer.encode_batch_fast(
+            [lines, *(chunk for chunk, word in zip(chunks, plain) if not word)],
+            add_special_tokens=False)
+        ids = np.array(found[0].ids, "<u4")
+        ends, coded = np.flatnonzero(ids == self.line_end[0]).tolist(), ids.tobytes()
+        words = (coded[4 * low:4 * high] for low, high in zip([0, *(end + 1 for end in ends)], ends))
+        others = (array("I", x.ids).tobytes() for x in found[1:])
+        return [next(words) if word else next(others) for word in plain]
 
 
 @lru_cache(maxsize=2)

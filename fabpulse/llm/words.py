@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable
+
+GROUP_CHARS = 1 << 21  # of texts whose chunks are looked up together
+KNOWN_CHUNKS = 250_000  # of a generation; a worker remembers two
 
 # The white space that separates words, and the characters counted as symbols.
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
 
-# A space before which a text must not be cut: white space (by anyone's definition) follows it.
-_UNSAFE_SPACE = re.compile("\x20(?:[\\s\x85᠎​﻿]|$)")
+# Where a text must not be cut: a space or line end beside other white space (by anyone's
+# definition), and a stop or comma that does not follow a letter or digit.
+_SPACE = "\\s\x85\u180e\u200b\ufeff"
+_UNSAFE_SPACE = re.compile(f" (?:[{_SPACE}]|$)")
+_UNSAFE_LINE = re.compile(f"\n(?:(?<=[{_SPACE}]\n)|(?=[{_SPACE}]|$))")
+_UNSAFE_STOP = re.compile(r"[.,](?<![^\W_][.,])")
+_CUT = "\0"
+_WORD = re.compile(f" ?[^{_SPACE}]+")
 
 
 def words(text: str) -> list[bytes]:
@@ -17,19 +27,79 @@ def words(text: str) -> list[bytes]:
     return text.encode().split()
 
 
-def spaced_chunks(text: str) -> list[str]:
-    """Cut a text before spaces that stand alone; the pieces join to the text.
+def is_word(chunk: str) -> bool:
+    """Whether a chunk has no white space, but for one space before it."""
+    return _WORD.fullmatch(chunk) is not None
+
 
-    The tokenizers' splitting pattern gives a space to the run that follows it, so it yields the
-    same pieces for a whole text as for these chunks one by one. Chunks repeat, texts don't.
+def chunks(text: str) -> list[str]:
+    """Cut a text into pieces that join to it and repeat from text to text, words for the most part.
+
+    The tokenizers' splitting pattern gives the same pieces for a whole text as for these chunks one
+    by one. It gives a space to the run after it, so a cut before a space is safe if no other white
+    space is next to it; a single line end stands alone; and a run of letters or digits ends
+    before a stop or comma. Texts in which one of these is not clear are not cut there.
     """
-    first, *rest = text.split(" ")
-    chunks = [first] if first else []
+    if _CUT in text:
+        return [text]
+    cut = text
+    if "\n" in text and not _UNSAFE_LINE.search(text):
+        cut = cut.replace("\n", "\0\n\0")
+    if not _UNSAFE_STOP.search(text):
+        cut = cut.replace(".", "\0.").replace(",", "\0,")
     if not _UNSAFE_SPACE.search(text):
-        return chunks + [" " + piece for piece in rest]
+        cut = cut.replace(" ", "\0 ")
+    else:
+        cut = _single_spaces(cut)
+    return list(filter(None, cut.split(_CUT)))
+
+
+def _single_spaces(text: str) -> str:
+    """Mark cuts before the spaces that have none of the unsafe neighbours."""
+    first, *rest = text.split(" ")
+    marked = [first]
     for piece in rest:
-        if chunks and _UNSAFE_SPACE.match(" " + piece[:1]):
-            chunks[-1] += " " + piece
-        else:
-            chunks.append(" " + piece)
-    return chunks
+        safe = not _UNSAFE_SPACE.match(" " + piece.lstrip(_CUT)[:1])
+        marked.append(("\0 " if safe else " ") + piece)
+    return "".join(marked)
+
+
+class ChunkMemory:
+    """Encodes texts chunk by chunk and remembers what chunks encode to, a bounded number of them.
+
+    `learn` encodes distinct chunks, at most `at_once` in a call.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], Iterable[bytes]], at_once: int):
+        self.learn, self.at_once = learn, at_once
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        """What each whole text encodes to; a null text is the empty one."""
+        found: list[bytes] = []
+        group: list[list[str]] = []
+        size = 0
+        for text in texts:
+            group.append(chunks(text or ""))
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                found += self._group(group)
+                group, size = [], 0
+        return found + self._group(group)
+
+    def _group(self, parts: list[list[str]]) -> list[bytes]:
+        if len(self.known) > KNOWN_CHUNKS:  # what no text asks for again is forgotten
+            self.known, self.older = {}, self.known
+        first = [list(map(self.known.get, part)) for part in parts]
+        new: set[str] = set()
+        for part, codes in zip(parts, first):
+            if None in codes:
+                new.update(chunk for chunk, code in zip(part, codes) if code is None)
+        self.known.update((chunk, self.older[chunk]) for chunk in new if chunk in self.older)
+        waiting = [chunk for chunk in new if chunk not in self.older]
+        for low in range(0, len(waiting), self.at_once):
+            some = waiting[low:low + self.at_once]
+            self.known.update(zip(some, self.learn(some)))
+        return [b"".join(map(self.known.__getitem__, part) if None in codes else codes)
+                for part, codes in zip(parts, first)]
