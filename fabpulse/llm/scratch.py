@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from fabpulse.session import shared_folder
+from fabpulse.session import scratch_folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the application ends."""
-    path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    jvm = spark.sparkContext._jvm
-    parent = jvm.org.apache.hadoop.fs.Path(path).getParent()
-    files = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(parent)
-    files.deleteOnExit(parent)
-    return path
+    return f"{scratch_folder(spark, 'llm')}/{name}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
