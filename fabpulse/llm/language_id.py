@@ -162,6 +162,14 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def _slices(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column, as views of its values."""
+    lists = column.combine_chunks()
+    values = lists.flatten().to_numpy()
+    ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
+    return np.split(values, ends[:-1]) if len(ends) else []
+
+
 def fit(docs: DataFrame, *, per_language: int = 1_000, max_languages: int = 256,
         buckets: int = 1 << 13, **how) -> LanguageModel:
     """Learn from about `per_language` labelled documents of each language, chosen by a hash.
@@ -189,8 +197,7 @@ def fit(docs: DataFrame, *, per_language: int = 1_000, max_languages: int = 256,
     )
     sample = (drawn.select("lang", _counts_udf(buckets)("text").alias("found"))
               .select("lang", "found.*").toArrow())
-    rows = [(np.array(b.as_py(), np.int64), np.array(c.as_py(), np.float32))
-            for b, c in zip(sample["bucket"], sample["count"])]
+    rows = list(zip(_slices(sample["bucket"]), _slices(sample["count"])))
     number = {language: at for at, language in enumerate(languages)}
     target = np.array([number[x] for x in sample["lang"].to_pylist()])
     full = [at for at, (index, _) in enumerate(rows) if len(index)]
