@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from fabpulse.session import settle
@@ -21,7 +21,7 @@ def _with_least(pairs: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (_with_least(both).where("v > u")
-            .select(F.col("v").alias("u"), F.col("least").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("least").alias("v")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -33,6 +33,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
+def _mark(edges: DataFrame) -> Row:
+    """Tells edge sets apart; both stars leave a finished one as it is."""
+    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """From links (u, v) of comparable nodes: (node, root), the least node of each component.
 
@@ -43,12 +48,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = settle(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .where("u <> v").distinct())
-    before = None
-    while True:
+    before, mark = None, _mark(now)
+    while mark != before:
         now = settle(_small_star(_large_star(now)))
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if mark == before:
-            break
-        before = mark
+        before, mark = mark, _mark(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         now.select("v", "v").distinct())
