@@ -77,7 +77,7 @@ def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         definition = file.read()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "token-store")
-    rans.write_store(docs, path, definition, end_id=2)
+    rans.write_store(docs, path, definition, end_id=2, added_tokens=True)
     return rans.read_store(spark, path).drop("ids")
 
 

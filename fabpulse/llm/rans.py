@@ -13,15 +13,18 @@ them, so a lost executor costs only the tasks it ran, and any file system will d
 Defined results: a null text is the empty one, and every document ends with the end id. Null ids
 come first. Rows that share an id are ordered by a hash of their text, null first. An empty table
 makes an empty store. A block holds a long document whole; its parts still decode on their own.
+The content of a special added token (<|endoftext|>) inside a text is that token, as the library
+reads it as loaded, with `added_tokens`; without, it is ordinary text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -157,17 +160,31 @@ class ChunkTokenizer:
     """Encodes texts by a tokenizer of the tokenizers library, as little-endian 32-bit integers.
 
     New words are given to it many at a time, one to a line: the splitting pattern sets a line end
-    between words apart, so its id tells where each word's ids end.
+    between words apart, so its id tells where each word's ids end. A text that holds an added token
+    is given to it whole, as white space beside the token splits differently in chunks.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
-        self.line_end = self._ids("\n")
-        self.encode = ChunkMemory(self._learn, NEW_CHUNKS).encode
+        self.tokenizer.encode_special_tokens = not added_tokens
+        contents = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()
+                    if added_tokens or not token.special]
+        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
+        # A token with a line end in it could be made by putting words one to a line.
+        self.line_end = array("I") if "\n" in "".join(contents) else self._ids("\n")
+        self.memory = ChunkMemory(self._learn, NEW_CHUNKS)
+
+    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+        """What each whole text encodes to; a null text is the empty one."""
+        texts = list(texts)
+        if self.added is None:
+            return self.memory.encode(texts)
+        whole = [self.added.search(text or "") is not None for text in texts]
+        cut = iter(self.memory.encode(text for text, kept in zip(texts, whole) if not kept))
+        return [self._ids(text).tobytes() if kept else next(cut) for text, kept in zip(texts, whole)]
 
     def _ids(self, text: str) -> array:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -179,15 +196,16 @@ class ChunkTokenizer:
             [lines, *(chunk for chunk, word in zip(chunks, plain) if not word)],
             add_special_tokens=False)
         ids = np.array(found[0].ids, "<u4")
-        ends, coded = np.flatnonzero(ids == self.line_end[0]).tolist(), ids.tobytes()
+        ends = np.flatnonzero(ids == self.line_end[0]).tolist() if any(plain) else []
+        coded = ids.tobytes()
         words = (coded[4 * low:4 * high] for low, high in zip([0, *(end + 1 for end in ends)], ends))
         others = (array("I", x.ids).tobytes() for x in found[1:])
         return [next(words) if word else next(others) for word in plain]
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(definition: str) -> ChunkTokenizer:
-    return ChunkTokenizer(definition)
+def _tokenizer(definition: str, added_tokens: bool = False) -> ChunkTokenizer:
+    return ChunkTokenizer(definition, added_tokens)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -205,13 +223,13 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
         yield ids, texts
 
 
-def draft_blocks(docs: DataFrame, definition: str, end_id: int) -> DataFrame:
+def draft_blocks(docs: DataFrame, definition: str, end_id: int, added_tokens: bool = False) -> DataFrame:
     """Uncoded blocks of whole documents, in order of (part, block)."""
     columns = [name.split()[0] for name in DRAFT.split(", ")]
 
     def drafts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, end = TaskContext.get().partitionId(), array("I", [end_id]).tobytes()
-        tokenizer = _tokenizer(definition)
+        tokenizer = _tokenizer(definition, added_tokens)
         block = start = held = 0
         pending: list[tuple] = []
 
@@ -265,10 +283,11 @@ def count_tokens(drafts: DataFrame) -> Table:
     return Table.of_counts(rows["id"].to_numpy(), rows["n"].to_numpy())
 
 
-def write_store(docs: DataFrame, path: str, definition: str, end_id: int) -> None:
+def write_store(docs: DataFrame, path: str, definition: str, end_id: int, *,
+                added_tokens: bool = False) -> None:
     """Tokenise documents (doc_id, text) and write the store to a folder."""
     spark = docs.sparkSession
-    drafts = stored(draft_blocks(docs, definition, end_id), "drafts")
+    drafts = stored(draft_blocks(docs, definition, end_id, added_tokens), "drafts")
     table = count_tokens(drafts)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

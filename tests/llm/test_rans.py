@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from fabpulse.llm import rans
+from fabpulse.llm.queries import QUERIES
 
 DEFINITION = open(public_tokenizers.path("byte_bpe_50k.json")).read()
 TOKENIZER = Tokenizer.from_str(DEFINITION)
@@ -105,3 +106,38 @@ def test_repeated_rows_fill_the_range_without_gaps(documents, llm, tmp_path):
 def test_empty_store(documents, llm, tmp_path):
     rans.write_store(documents((1, "a")).limit(0), f"{tmp_path}/store", DEFINITION, 2)
     assert rans.read_store(llm, f"{tmp_path}/store").count() == 0
+
+
+AS_LOADED = Tokenizer.from_str(DEFINITION)
+WITH_TOKEN = ["ab <|endoftext|> c", "ab  <|endoftext|>  c", "<|endoftext|>", "a\n<|endoftext|>\n\nb, c.",
+              " <|endoftext|><|endoftext|> x", "<|endoftext| >", "<|endoftext", "|> c", "words  without one", "", None]
+
+
+def as_loaded(text):
+    return AS_LOADED.encode(text or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_are_read_as_the_library_reads_them():
+    assert as_loaded(WITH_TOKEN[0]) == [397, 220, 50256, 269]
+    found = rans._tokenizer(DEFINITION, True).encode(WITH_TOKEN)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == list(map(as_loaded, WITH_TOKEN))
+
+
+def test_a_token_made_of_two_lines_is_not_found_between_words():
+    tokenizer = Tokenizer.from_str(DEFINITION)
+    tokenizer.add_special_tokens(["b\nc"])
+    texts = ["ab cd", "ab\ncd", "cd ab cd"]
+    found = rans.ChunkTokenizer(tokenizer.to_str(), True).encode(texts)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_query_reads_added_tokens(documents, llm, tmp_path):
+    documents(*enumerate(WITH_TOKEN)).write.parquet(f"{tmp_path}/documents.parquet")
+    start, wanted = 0, []
+    for doc_id, text in enumerate(WITH_TOKEN):
+        ids = [*as_loaded(text), 2]
+        wanted.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    found = QUERIES["op10_rans_store"](llm, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == wanted
