@@ -1,21 +1,24 @@
 """Tool calls of conversations: linked to their results, ordered, validated and serialised.
 
-Calls and results meet in a hash join on the call's identifier. A call may come after another, whose
+Calls and results meet in a hash join on conversation and identifier: an identifier means something
+within its conversation only, and calls without a conversation share one. A call may come after another, whose
 result it uses; its level is the length of the chain before it, so levels are a topological
 order: all that a call needs has a smaller one. Levels come from pointer doubling, in which every
 round joins each call with the call it points to and doubles the distance it sees, so a chain of n calls
 takes log2(n) rounds. Arguments are parsed and checked against their tool's schema, and each exchange is
 written as canonical JSON: keys sorted at every depth, no white space.
 
-It is DataFrame code throughout. Identifiers are aggregated before they are joined, so no key
-repeats on either side, and conversations of any length are spread.
+It is DataFrame code throughout. Keys are aggregated before they are joined, so none repeats on
+either side, and conversations of any length are spread. Rows of repeated keys meet the least of
+their key in a join of its own, which may split a hot key's rows.
 
 Defined results, by `status`: `ok`; `invalid`, with `errors`; `unanswered` for a call without result;
 `orphan` for a result without call; `cyclic` for calls that wait for each other, or for one of
-these, with no level; `nameless` for calls and results without identifier, each kept as it is. The first that
-holds of nameless, orphan, cyclic, invalid, unanswered is given. Of calls that share an identifier the
-least counts, of results the least text; `calls` and `results` tell how many there were. A call that comes
-after an unknown one comes after none.
+these, with no level; `nameless` for calls and results without identifier, each kept as it is; `duplicate` for
+other calls and results under a key. The first that holds of nameless, duplicate, orphan, cyclic, invalid,
+unanswered is given. Of calls that share a key the least is linked, of results the least text; `calls` and
+`results` tell how many there were. Each that differs from it is a duplicate row, with no level and the number of
+its equal copies. A call that comes after one unknown in its conversation comes after none.
 """
 
 from __future__ import annotations
@@ -107,38 +110,66 @@ def levels(calls: DataFrame) -> DataFrame:
     return now.select("call_id", F.when(F.col("next").isNull(), F.col("steps")).alias("level"))
 
 
+def _key() -> Column:
+    """Conversation and identifier in one column, never null itself, so joins on it are null-safe."""
+    return F.struct("conv_id", "call_id")
+
+
+def _others(rows: DataFrame, *columns: str) -> DataFrame:
+    """(conv_id, call_id, *columns, copies) of what differs from the least row of its key."""
+    named = rows.where("call_id is not null").select(_key().alias("key"), *columns)
+    repeated = stored(named.groupBy("key").count().where("count > 1").select("key"), "repeated")
+    if repeated.isEmpty():
+        named = named.limit(0)  # most tables have none, and need not be shuffled for it
+    each = stored(named.join(repeated, "key").groupBy("key", *columns)
+                  .agg(F.count("*").alias("copies")), "variants")
+    least = each.groupBy("key").agg(F.min(F.struct(*columns)).alias("least"))
+    return each.join(least, "key").where(~F.struct(*columns).eqNullSafe(F.col("least"))).select(
+        "key.*", *columns, "copies")
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
-    """One row per identifier, and per call or result without one.
+    """One row per conversation and identifier, per duplicate, and per call or result without identifier.
 
     `calls` has call_id, conv_id, tool, arguments and after, `results` has call_id, conv_id and content.
     """
     named = stored(
-        calls.where("call_id is not null").groupBy("call_id").agg(
-            F.min(F.struct("conv_id", "tool", "arguments", "after")).alias("call"),
-            F.count("*").alias("calls")).select("call_id", "call.*", "calls"), "calls")
+        calls.where("call_id is not null").groupBy(_key().alias("key")).agg(
+            F.min(F.struct("tool", "arguments", "after")).alias("call"),
+            F.count("*").alias("calls")).select("key", "call.*", "calls"), "calls")
     answers = (
-        results.where("call_id is not null").groupBy("call_id")
-        .agg(F.min(F.struct("content", "conv_id")).alias("answer"), F.count("*").alias("results"))
-        .select("call_id", F.col("answer.content").alias("content"),
-                F.col("answer.conv_id").alias("of"), "results")
+        results.where("call_id is not null").groupBy(_key().alias("key"))
+        .agg(F.min(F.struct("content")).alias("answer"), F.count("*").alias("results"))
+        .select("key", F.col("answer.content").alias("content"), "results")
     )
+    after = F.when(F.col("after").isNotNull(), F.struct(
+        F.col("key.conv_id").alias("conv_id"), F.col("after").alias("call_id")))
     met = (
-        named.drop("after").hint("shuffle_hash").join(answers, "call_id", "full_outer")
-        .join(levels(named.select("call_id", "after")), "call_id", "left")
+        named.drop("after").hint("shuffle_hash").join(answers, "key", "full_outer")
+        .join(levels(named.select(F.col("key").alias("call_id"), after.alias("after")))
+              .withColumnRenamed("call_id", "key"), "key", "left")
+        .select("key.*", "tool", "level", "calls", "results", "arguments", "content")
+    )
+    others = (
+        _others(calls, "tool", "arguments", "after").drop("after").withColumnRenamed("copies", "calls")
+        .unionByName(_others(results, "content").withColumnRenamed("copies", "results"),
+                     allowMissingColumns=True)
+        .withColumn("duplicate", F.lit(True))
     )
     loose = calls.where("call_id is null").select(
         "conv_id", "tool", "arguments", F.lit(1).cast("long").alias("calls")).unionByName(
         results.where("call_id is null").select(
             "conv_id", "content", F.lit(1).cast("long").alias("results")), allowMissingColumns=True)
-    rows = met.unionByName(loose, allowMissingColumns=True)
+    rows = others.unionByName(met, allowMissingColumns=True).unionByName(loose, allowMissingColumns=True)
     none = F.lit(0).cast("long")
     judged = rows.select(
-        F.coalesce("conv_id", "of").alias("conv_id"), "call_id", "tool", "level",
+        "conv_id", "call_id", "tool", "level", "duplicate",
         F.coalesce("calls", none).alias("calls"), F.coalesce("results", none).alias("results"),
         "arguments", "content",
         F.when(F.col("calls").isNotNull(), errors(schemas)).otherwise("").alias("errors"))
     status = (
-        F.when(F.col("call_id").isNull(), "nameless").when(F.col("calls") == 0, "orphan")
+        F.when(F.col("call_id").isNull(), "nameless").when(F.col("duplicate"), "duplicate")
+        .when(F.col("calls") == 0, "orphan")
         .when(F.col("level").isNull(), "cyclic").when(F.col("errors") != "", "invalid")
         .when(F.col("results") == 0, "unanswered").otherwise("ok"))
     message = F.to_json(F.struct(

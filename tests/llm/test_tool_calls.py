@@ -93,3 +93,45 @@ def test_hard_rows_and_empty_tables(llm):
         ("invalid", 1, 0), ("invalid", 2, 1), ("nameless", 0, 1), ("nameless", 1, 0)]
     empty = conversation(rows, llm).limit(0)
     assert tool_calls.link(*tool_calls.conversation_calls(empty), tool_calls.SCHEMAS).count() == 0
+
+
+def test_identifiers_count_within_their_conversation(linked):
+    convs = [None, 1, 2, 3]
+    calls = [(f"call_{n}", c, "add", f'{{"a": {n}}}', f"call_{n - 1}") for c in convs for n in range(3)]
+    calls.append(("lone", 1, "none", "{}", "theirs"))
+    results = [(f"call_{n}", c, f"result {n} of {c}") for c in convs for n in range(3)]
+    results += [("lone", 2, "of another"), ("theirs", 2, "x")]
+    rows = linked(calls, results)
+    assert sorted(((r.conv_id, r.call_id, r.status, r.level, r.calls, r.results) for r in rows), key=repr) == sorted(
+        [(c, f"call_{n}", "ok", n, 1, 1) for c in convs for n in range(3)]
+        + [(1, "lone", "unanswered", 0, 1, 0), (2, "lone", "orphan", None, 0, 1),
+           (2, "theirs", "orphan", None, 0, 1)], key=repr)
+    for row in rows:
+        if row.status == "ok":
+            assert json.loads(row.message)["result"] == f"result {row.level} of {row.conv_id}"
+
+
+@pytest.mark.parametrize("conv", [1, None])
+def test_differing_rows_under_one_key_are_kept(linked, conv):
+    calls = [("a", conv, "add", f'{{"a": {n % 20}}}', None) for n in range(60)] + [
+        ("a", conv, None, None, None), ("a", 7, "none", "{}", None)]
+    results = [("a", conv, f"text {n}") for n in range(300)] + [("a", conv, None), ("a", 7, "r"), ("a", 7, "r")]
+    rows = linked(calls, results)
+    first, = (r for r in rows if r.conv_id == conv and r.status != "duplicate")
+    assert (first.status, first.calls, first.results, json.loads(first.message)) == (
+        "invalid", 61, 301, {"id": "a"})
+    other, = (r for r in rows if r.conv_id == 7)
+    assert (other.status, other.calls, other.results) == ("ok", 1, 2)
+    more = [r for r in rows if r.status == "duplicate"]
+    assert sorted(json.loads(r.message)["result"] for r in more if r.results) == sorted(
+        f"text {n}" for n in range(300))
+    assert sorted((json.loads(r.message)["arguments"]["a"], r.calls, r.errors) for r in more if r.calls) == [
+        (n, 3, "a: too large" if n > 10 else "") for n in range(20)]
+    assert all(r.level is None and (r.conv_id, r.call_id) == (conv, "a") for r in more)
+
+
+def test_turns_repeated_with_other_texts_lose_none(llm):
+    rows = [(1, 0, "user", "one"), (1, 0, "user", "two"), (1, 1, "assistant", "three"), (1, 1, "assistant", "four")]
+    found = tool_calls.link(*tool_calls.conversation_calls(conversation(rows, llm)), tool_calls.SCHEMAS).collect()
+    assert sorted(r.status for r in found) == ["duplicate", "duplicate", "ok"]
+    assert all(any(text in r.message for r in found) for _, _, _, text in rows)
