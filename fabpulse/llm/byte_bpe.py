@@ -1,6 +1,7 @@
-"""Byte-level BPE by replaying the merges of a rank file over the distinct pieces of a corpus.
+"""Byte-level BPE by replaying the merges of a rank file over the distinct pieces of groups of texts.
 
-Texts repeat pieces, so merges run on distinct pieces. For all new ones of a group of texts, an
+Texts repeat pieces, so merges run on distinct pieces, of a task's group of texts and not of the corpus:
+a piece is replayed in every task that meets it, and again after it was forgotten. For all new ones of a group of texts, an
 inverted index maps each adjacent token pair to the positions where it stands. Merges are applied
 in rank order, each at all its positions, and only the two neighbours of a merged pair are looked
 up and indexed anew. Texts are then strings of known pieces. A task reads its texts in groups of
