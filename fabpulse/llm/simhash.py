@@ -157,22 +157,19 @@ def fingerprint_text(fp: str = "fp") -> Column:
 def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """One row of `docs` for each component: of its smallest doc_id, nulls after the others.
 
-    Rows that share a doc_id are told apart by their fingerprints; of equal ones one stays.
+    Rows that share a doc_id are told apart by their fingerprints; of equal ones one stays. Every
+    text is looked at once more, before rows meet heads by both, so an id of many rows and many
+    heads makes no pairs.
     """
     names = docs.columns
     found = near_duplicates(docs, shingle).withColumn("__id", _never_null("doc_id"))
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "__id", "fp")
     heads = found.groupBy("root").agg(F.min(order).alias("head"))
-    rows = found.groupBy("__id").agg((F.count("*") > 1).alias("__many"))
-    keep = (heads.select(F.col("head.__id").alias("__id"), F.col("head.fp").alias("__fp"))
-            .join(rows, "__id"))
-    met = docs.withColumn("__id", _never_null("doc_id")).join(keep, "__id")
-    # Only rows whose id does not tell which they are need another look at the text.
-    own = fingerprint_of(F.when(F.col("__many"), F.col("text")), shingle)
+    keep = heads.select(F.col("head.__id").alias("__id"), F.col("head.fp").alias("__fp"))
+    own = fingerprint_of(F.col("text"), shingle)
+    met = docs.withColumns({"__id": _never_null("doc_id"), "__fp": own}).join(keep, ["__id", "__fp"])
     alone = Window.partitionBy("__id", "__fp").orderBy(F.xxhash64("text"))
-    return (met.withColumn("__own", own)
-            .where(~F.col("__many") | (F.col("__own") == F.col("__fp")))
-            .withColumn("__row", F.row_number().over(alone))
+    return (met.withColumn("__row", F.row_number().over(alone))
             .where("__row = 1").select(*names))
 
 

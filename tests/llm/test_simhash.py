@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from fabpulse.llm import simhash
@@ -91,3 +92,35 @@ def test_components_of_a_long_chain_and_a_hub(llm):
     edges = [(i, i + 1) for i in range(60)] + [(1_000, i) for i in range(100, 200)] + [(5, 5), (None, 3)]
     found = {r.node: r.root for r in components(llm.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {**{i: 0 for i in range(61)}, **{i: 100 for i in [*range(100, 200), 1_000]}}
+
+
+def test_an_id_of_many_rows_and_heads_makes_no_pairs(documents, monkeypatch, tmp_path):
+    words = [f"{a}{b}" for a in "bcdfghjk" for b in "aeiou"]
+    texts = [" ".join(words[(7 * i + j * j * (i + 1)) % 40] for j in range(60)) for i in range(60)]
+    docs = documents(*((None if i % 2 else 7, text) for i, text in enumerate(texts)), (7, texts[0]))
+    seen = str(tmp_path / "seen")
+    real = simhash.fingerprint
+
+    def counted(text, shingle=3):
+        with open(seen, "a") as file:
+            file.write(".")
+        return real(text, shingle)
+
+    monkeypatch.setattr(simhash, "fingerprint_of", _counting(counted))
+    kept = simhash.keep_one(docs).collect()
+    assert len(kept) == len(set(brute_classes([brute_fingerprint(t) for t in texts])))
+    assert len({r.text for r in kept}) == len(kept)
+    with open(seen) as file:
+        assert len(file.read()) <= 2 * docs.count()  # once for the components, once for the heads
+
+
+def _counting(counted):
+    def column(text, shingle=3):
+        @F.udf("bigint")
+        def signed(value):
+            found = counted(value, shingle)
+            return found - (1 << 64) if found >> 63 else found
+
+        return signed.asNondeterministic()(text)
+
+    return column
