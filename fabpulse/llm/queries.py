@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.llm import (
-    byte_bpe, cover_tree, language_id, mixing, quality_rules, rans, sharding, simhash,
+    byte_bpe, cover_tree, language_id, merkle, mixing, quality_rules, rans, sharding, simhash,
     tool_calls, warc,
 )
 from fabpulse.llm.scratch import scratch_path
@@ -81,11 +81,19 @@ def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_store(spark, path).drop("ids")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_quality_rules, op2_language_id, op3_simhash_dedup, op4_warc, op5_tool_calls, op6_exact_top_k,
-        op7_byte_bpe, op8_mixing, op9_sharding, op10_rans_store,
+        op7_byte_bpe, op8_mixing, op9_sharding, op10_rans_store, op12_merkle_manifest,
     )
 }
 
-ORACLES: dict[str, str] = {"op5_tool_calls": tool_calls.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_tool_calls": tool_calls.ORACLE,
+    "op8_mixing": mixing.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
+}
