@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabpulse.llm.checksums import CRC_TABLE, crc_sql
 from fabpulse.llm.scratch import stored
 
 FANOUT = 8
@@ -340,21 +341,6 @@ def audit_documents(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
 
 SQL_LEVELS = 8  # of each tree in the SQL, enough for 16 million documents a language
 
-# The checksum of ASCII text, in SQL that has none: T[i + 1] is what eight shifts make of the byte i.
-CRC_TABLE = (
-    "crc(t) AS (SELECT list(list_reduce(list_concat([i], range(8)), lambda a, b:"
-    " CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i)"
-    " FROM range(256) AS bytes(i))"
-)
-
-
-def crc_sql(text: str) -> str:
-    return (
-        f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length({text}) + 1),"
-        f" lambda i: ascii(substr({text}, i, 1))::BIGINT)),"
-        " lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)"
-    )
-
 
 def _field_sql(column: str) -> str:
     return f"coalesce(strlen(({column})::VARCHAR)::VARCHAR || ':' || ({column})::VARCHAR, '-')"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fabpulse.llm import (
     byte_bpe, cover_tree, language_id, merkle, mixing, quality_rules, rans, sharding, simhash,
-    tool_calls, warc,
+    tool_calls, turn_repair, warc,
 )
 from fabpulse.llm.scratch import scratch_path
 from fabpulse.llm.shipping import ship
@@ -81,6 +81,10 @@ def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_store(spark, path).drop("ids")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit_documents(_table(spark, sf_dir, "documents"))
 
@@ -88,12 +92,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_quality_rules, op2_language_id, op3_simhash_dedup, op4_warc, op5_tool_calls, op6_exact_top_k,
-        op7_byte_bpe, op8_mixing, op9_sharding, op10_rans_store, op12_merkle_manifest,
+        op7_byte_bpe, op8_mixing, op9_sharding, op10_rans_store, op11_turn_repair,
+        op12_merkle_manifest,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op5_tool_calls": tool_calls.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op11_turn_repair": turn_repair.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
 }
