@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.llm import (
-    byte_bpe, cover_tree, language_id, merkle, mixing, quality_rules, rans, sharding, simhash,
-    tool_calls, turn_repair, warc,
+    byte_bpe, cover_tree, language_id, merkle, mixing, pitman_yor, quality_rules, rans,
+    sharding, simhash, tool_calls, turn_repair, warc,
 )
 from fabpulse.llm.scratch import scratch_path
 from fabpulse.llm.shipping import ship
@@ -89,11 +89,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_corpus(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_quality_rules, op2_language_id, op3_simhash_dedup, op4_warc, op5_tool_calls, op6_exact_top_k,
         op7_byte_bpe, op8_mixing, op9_sharding, op10_rans_store, op11_turn_repair,
-        op12_merkle_manifest,
+        op12_merkle_manifest, op13_lm_scoring,
     )
 }
 
