@@ -289,7 +289,8 @@ class Manifest:
             _tree_name(F.col(tree)).alias("tree"), F.col(key).alias("key"),
             leaf_digest([F.col(name) for name in fields]).alias("node"),
             (F.lit(None).cast("binary") if shown is None else shown).alias("shown"))
-        self.trees = write_logs(numbered(leaves, ["key", "node", "shown"]), height)
+        # Written first: the range partitioning reads its input twice, and texts should be read once.
+        self.trees = write_logs(numbered(stored(leaves, "digests"), ["key", "node", "shown"]), height)
         roots = tops(self.trees).withColumnRenamed("tree", "named").withColumn("tree", F.lit(""))
         self.over = write_logs(numbered(roots, ["named"]), height)
 
@@ -306,13 +307,11 @@ class Manifest:
     def audits(self) -> DataFrame:
         """Every row's digest, those of its tree and the dataset, its proof's and the root it folds to."""
         above = self._above()
-        root = tops(self.over).select(F.col("node").alias("root"))
+        root = tops(self.over).first()  # a single row, none without leaves
         found = walk_down(self.trees, above.select("tree", "path"), _audits,
                           "proof_sha256 string, folded binary")
-        # One row per tree with the dataset's root, which is a single row.
-        named = above.select("tree", F.col("node").alias("subroot"), F.lit("").alias("_one")).join(
-            root.withColumn("_one", F.lit("")), "_one").drop("_one")
-        return found.join(named, "tree")
+        whole = F.lit(bytes(root["node"]) if root else None).cast("binary")
+        return found.join(above.select("tree", F.col("node").alias("subroot")), "tree").withColumn("root", whole)
 
 
 def tampered_leaf(fields: Sequence[str] = FIELDS) -> Column:
