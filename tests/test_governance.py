@@ -83,6 +83,61 @@ def test_java_methods_are_refused(spark, call):
         role_query(session, "viewer", f"SELECT {call} ('java.lang.System', 'getProperty', 'user.home')")
 
 
+READS_PROPERTY = "('java.lang.System', 'getProperty', 'user.dir')"
+
+
+@pytest.mark.parametrize("text", [
+    f"SELECT reflect/**/{READS_PROPERTY}",
+    f"SELECT java_method -- c\n{READS_PROPERTY}",
+    "SELECT `reflect`/*a*/('java.lang.System', 'getenv', 'HOME')",
+    f"SELECT system.builtin.reflect{READS_PROPERTY}",
+    f"SELECT upper(concat('x', TRY_REFLECT{READS_PROPERTY}))",
+    f"SELECT 1 WHERE EXISTS (SELECT java_method{READS_PROPERTY})",
+    f"WITH c AS (SELECT reflect{READS_PROPERTY} AS x) SELECT 1 FROM dim_machine WHERE machine_sk IN (SELECT x FROM c)",
+    f"SELECT * FROM VALUES (reflect{READS_PROPERTY}) AS t(x)",
+    f"SELECT schema_of_json(reflect{READS_PROPERTY})",
+    f"SELECT transform(array(1), x -> reflect{READS_PROPERTY})",
+    f"SELECT max(reflect{READS_PROPERTY}) OVER () FROM dim_machine ORDER BY reflect{READS_PROPERTY}",
+    f"SELECT * FROM dim_machine, LATERAL (SELECT java_method{READS_PROPERTY})",
+    f"SELECT IDENTIFIER('refl' || 'ect'){READS_PROPERTY}",
+    "SELECT * FROM IDENTIFIER('anomaly' || '_log')",
+    "SELECT input_file_name() FROM dim_machine",
+])
+def test_refused_however_it_is_written(spark, text):
+    session = role_views(spark, "viewer", LOADERS)
+    with pytest.raises(PermissionError):
+        role_query(session, "viewer", text)
+
+
+@pytest.mark.parametrize(("text", "value"), [
+    ("SELECT 'reflect(x)' AS v", "reflect(x)"),
+    ("SELECT 'java_method (' AS v -- reflect(x)", "java_method ("),
+    ("SELECT count(*) AS `reflect(x)` FROM dim_machine /* reflect('a') */", 1),
+    ("SELECT 'SubqueryAlias a.b' AS v FROM dim_machine", "SubqueryAlias a.b"),
+    ("SELECT sum(x) FROM (SELECT explode(sequence(1, 3)) AS x) JOIN (SELECT id FROM range(1)) ON true", 6),
+    ("SELECT max(r) FROM (SELECT rank() OVER (ORDER BY machine_sk) AS r FROM dim_machine)", 1),
+    ("SELECT (SELECT max(avg_value) FROM hourly_machine_summary) + machine_sk FROM dim_machine", 3.0),
+    ("WITH RECURSIVE n(i) AS (SELECT 1 UNION ALL SELECT i + 1 FROM n WHERE i < 4) SELECT max(i) FROM n", 4),
+])
+def test_allowed_however_it_reads(spark, text, value):
+    session = role_views(spark, "viewer", LOADERS)
+    assert role_query(session, "viewer", text).first()[0] == value
+
+
+def test_functions_that_are_not_sparks_own_are_refused(spark):
+    session = role_views(spark, "viewer", LOADERS)
+    session.udf.register("peek", lambda: "secret")
+    with pytest.raises(PermissionError, match="PythonUDF"):
+        role_query(session, "viewer", "SELECT peek()")
+
+
+def test_views_of_others_in_the_session_are_refused(spark):
+    session = role_views(spark, "viewer", LOADERS)
+    session.range(2).createOrReplaceTempView("anomaly_log")
+    with pytest.raises(PermissionError, match="anomaly_log"):
+        role_query(session, "viewer", "SELECT * FROM anomaly_log")
+
+
 def test_relations_of_other_sessions_are_refused(spark):
     spark.range(3).createOrReplaceGlobalTempView("secret")
     spark.sql("CREATE TABLE IF NOT EXISTS shared_secret USING parquet AS SELECT 1 AS x")
