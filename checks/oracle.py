@@ -296,6 +296,10 @@ STATEMENTS = {
         "SELECT machine_id, ROUND(AVG(avg_value), 8) AS mean_value FROM hourly GROUP BY machine_id",
     "stream_anomalies": "SELECT * FROM captured",
     "stream_restart": "SELECT * FROM captured",
+    "anomaly_keys": """
+        SELECT message_id AS reading_id, message_id IN (SELECT reading_id FROM captured) AS held
+        FROM typed WHERE message_id IS NOT NULL GROUP BY message_id""",
+    "role_sample": "SELECT LEAST(COUNT(*), 3) AS sampled, LEAST(COUNT(*), 3) AS known FROM fact",
     "stream_dead_letters": """
         SELECT message_id, error FROM judged WHERE error IS NOT NULL
         UNION ALL SELECT NULL, 'not a JSON object' FROM lines WHERE machine_id IS NULL""",
@@ -322,6 +326,6 @@ captured AS (
 """
 
 ORACLES = {
-    name: FEED + (CAPTURE if name.startswith("stream_") else "") + statement
+    name: FEED + (CAPTURE if "captured" in statement or name.startswith("stream_") else "") + statement
     for name, statement in STATEMENTS.items()
 }

@@ -28,6 +28,7 @@ from fabpulse.plans.reports import run_business_queries
 from fabpulse.plans.silver import build_silver
 from fabpulse.schemas import ARRIVAL_COLUMNS, BRONZE, MESSAGE, PARTITION_DAY
 from fabpulse.session import own_session, scratch_folder
+from fabpulse.sinks.keys import held_keys, open_index
 from fabpulse.sources.bronze import read_bronze
 from fabpulse.sources.dimensions import dim_date, seed_dimensions
 from fabpulse.sources.literal import literal_rows
@@ -474,9 +475,13 @@ def role_over_lake(spark, sf_dir):
 
 @query
 def role_sample(spark, sf_dir):
-    """Some rows, which ones is not defined."""
+    """Some rows, which ones is not defined: how many they are, and how many of them the table holds."""
     session = open_as(spark, "analyst", stored_gold(spark, sf_dir))
-    return role_query(session, "analyst", "SELECT * FROM fact_sensor_readings LIMIT 3")
+    return role_query(
+        session, "analyst",
+        "WITH sample AS (SELECT * FROM fact_sensor_readings LIMIT 3)"
+        " SELECT COUNT(*) AS sampled, COUNT(f.reading_id) AS known FROM sample LEFT JOIN fact_sensor_readings AS f"
+        " ON f.reading_id = sample.reading_id AND f.reading_value = sample.reading_value")
 
 
 # --- Whole runs on files and streams --------------------------------------------------
@@ -533,6 +538,17 @@ def stream_restart(spark, sf_dir):
     return read_table(spark, lake, "anomaly_log").select(*CAPTURED)
 
 
+@query
+def anomaly_keys(spark, sf_dir):
+    """What the log's key index tells of all messages, after it took in the files of a captured stream."""
+    lake = _captured(spark, sf_dir)
+    open_index(spark, lake, "anomaly_log", fresh_files=0)
+    asked = feed.messages(feed.read_events(spark, sf_dir)).select(F.col("message_id").alias("reading_id"))
+    held = held_keys(spark, lake, "anomaly_log", asked).distinct()
+    return asked.distinct().filter("reading_id IS NOT NULL").join(
+        held.withColumn("held", F.lit(True)), "reading_id", "left").fillna(False, ["held"])
+
+
 @query
 def stream_dead_letters(spark, sf_dir):
     letters = spark.read.schema("error STRING, payload STRING").json(

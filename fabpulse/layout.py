@@ -32,5 +32,8 @@ class Layout:
     def table(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    def keys(self, name: str) -> str:
+        return f"{self.root}/keys/{name}"
+
     def checkpoint(self, stream: str) -> str:
         return f"{self.root}/checkpoints/{stream}"

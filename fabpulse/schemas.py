@@ -67,6 +67,7 @@ class Table:
 
 
 PARTITION_DAY = "partition_day"
+KEY_BUCKET = "key_bucket"
 
 TABLES = {
     table.name: table

@@ -13,6 +13,7 @@ from fabpulse.operators.upsert import insert_or_replace, rows_to_insert
 from fabpulse.schemas import PARTITION_DAY, TABLES, Table
 from fabpulse.session import observing, settle
 from fabpulse.sinks.files import replacing_partitions
+from fabpulse.sinks.keys import held_keys
 from fabpulse.sources.literal import literal_rows
 from fabpulse.sources.tables import read_table
 
@@ -32,13 +33,16 @@ def append_missing(
 ) -> int:
     """Insert-or-ignore into a table; returns the number of rows inserted.
 
-    All keys of the table are looked up, wherever they are stored.
+    Keys are looked up wherever they are stored: of a dimension in the table itself, of a table
+    partitioned by day in the index of its keys, which a small batch reads in part.
     """
     table = TABLES[name]
     rows = _with_day(table, source.select(*table.schema.fieldNames()))
     target = read_table(spark, layout, name)
     if not target.isEmpty():
         rows = settle(rows)  # read for its keys and for its rows
+        if table.dated_by:
+            target = held_keys(spark, layout, name, rows)
     missing = rows_to_insert(target, rows, [table.key], order_by)
     if table.dated_by is None:
         # A dimension: appending no rows would add a file.
