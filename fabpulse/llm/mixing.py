@@ -4,7 +4,8 @@ A source's weight is its share of all tokens, raised to an exponent between 0 (a
 they are) and normalised. The exponent is the smallest, found by bisection, at which the
 weights' entropy is at most a target and no source repeats more often than a limit. A source's
 budget is its weight's part of all tokens asked for. Its documents follow each other in a
-permutation, drawn anew for each epoch by a hash, until the budget is used up. Each source's stream
+permutation, drawn anew for each epoch by a hash, until the budget is used up: the document that reaches it is
+the last, so a source exceeds its budget by less than that document, however long one is. Each source's stream
 is cut into as many equal blocks; equal blocks of all sources make one block of the mixture, which
 holds them at the target weights and is permuted in turn.
 
@@ -120,7 +121,7 @@ def mix(rows: DataFrame, *, budget: int | None = None, target_entropy: float = 0
         .join(ranges, F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("e"))
               & (F.col("range") == F.col("r")))
         .withColumn("at", F.expr("epoch * tokens + ahead + before"))
-        .where("at + n_tokens <= quota and at < quota")
+        .where("at < quota")
         .withColumn("block", F.expr("at div per_block"))
     )
     shuffled = Window.partitionBy("block").orderBy(
@@ -189,7 +190,7 @@ r AS (SELECT d.*, p.tokens, p.quota, p.per_block, p.epoch,
 o AS (SELECT *, epoch * tokens + coalesce(sum(n_tokens) OVER (
                  PARTITION BY source, epoch ORDER BY draw, doc_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place FROM r),
-b AS (SELECT *, place // per_block AS block FROM o WHERE place + n_tokens <= quota AND place < quota)
+b AS (SELECT *, place // per_block AS block FROM o WHERE place < quota)
 SELECT doc_id, source, n_tokens, epoch, block,
        row_number() OVER (PARTITION BY block
                           ORDER BY md5(concat_ws(':', 'mix:slot', epoch, doc_id)), doc_id) - 1 AS slot

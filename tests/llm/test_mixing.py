@@ -44,7 +44,7 @@ def brute_mix(rows, target=0.95, limit=2.0, block_tokens=1 << 18):
         for epoch in range(quota // tokens[s] + 1):
             at = epoch * tokens[s]
             for key, i, n in sorted((draw("mix", epoch, i), i, n) for i, of, n in rows if of == s):
-                if at + n <= quota and at < quota:
+                if at < quota:
                     taken[at // -(-quota // blocks)].append(
                         (draw("mix:slot", epoch, i), i, s, n, epoch))
                 at += n
@@ -103,3 +103,21 @@ def test_no_tokens(documents):
         mixed = mixing.mix(mixing.countable(docs))
         assert mixed.count() == 0 and mixed.columns[-3:] == ["epoch", "block", "slot"]
         assert mixing.mix_documents(docs).count() == 0
+
+
+def test_a_dominating_document_costs_no_source_its_quota(documents):
+    rows = [(i, "word " * 10, None, "big") for i in range(1000)] + [(1000, "word " * 40_000, None, "big")]
+    rows += [(2000 + i, "word " * 100, None, s) for s in ("b", "c") for i in range(150)]
+    rows = [(k, *row[1:]) for k, row in enumerate(rows)]
+    counted = mixing.countable(documents(*rows))
+    taken = Counter()
+    for r in mixing.mix(counted).collect():
+        taken[r.source] += r.n_tokens
+    tokens = {"big": 50_000, "b": 15_000, "c": 15_000}
+    sources = counted.groupBy("source").agg({"n_tokens": "sum"}).toDF("source", "tokens")
+    step = mixing.find_exponent(sources, 80_000, target_entropy=0.95, max_repeats=2.0)
+    power = {s: (n / 80_000) ** (step / mixing.STEPS) for s, n in tokens.items()}
+    longest = {"big": 40_000, "b": 100, "c": 100}
+    for source, q in power.items():
+        quota = math.floor(q / sum(power.values()) * 80_000 + 0.5)
+        assert quota <= taken[source] < quota + longest[source]
