@@ -306,6 +306,7 @@ STATEMENTS = {
 }
 STATEMENTS["silver_files"] = STATEMENTS["silver_incremental"] = STATEMENTS["silver_readings"]
 STATEMENTS["hourly_stored"] = STATEMENTS["hourly_summary_one_day"]
+STATEMENTS["dash_refreshed"] = STATEMENTS["dash_machine_summary"]
 STATEMENTS["dash_stored"] = STATEMENTS["dash_live_readings"]
 STATEMENTS["report_stored"] = STATEMENTS["bq01_hot_machines"]
 STATEMENTS["role_over_lake"] = STATEMENTS["role_engineer_counts"]

@@ -26,6 +26,7 @@ from fabpulse.plans.gold import build_gold
 from fabpulse.plans.hourly import run_hourly
 from fabpulse.plans.reports import run_business_queries
 from fabpulse.plans.silver import build_silver
+from fabpulse.plans.totals import refresh_day_totals
 from fabpulse.schemas import ARRIVAL_COLUMNS, BRONZE, MESSAGE, PARTITION_DAY
 from fabpulse.session import own_session, scratch_folder
 from fabpulse.sinks.keys import held_keys, open_index
@@ -375,6 +376,21 @@ def dash_stored(spark, sf_dir):
         " is_anomaly BOOLEAN").json(f"{lake.dashboards}/live_readings")
 
 
+@query
+def dash_refreshed(spark, sf_dir):
+    """An aggregate as the job wrote it after three loads, the day totals refreshed after each."""
+    lake = landed(spark, sf_dir)
+    days = [r[0] for r in feed.payloads(feed.read_events(spark, sf_dir)).select("arrived").distinct().collect()]
+    build_silver(spark, lake)
+    for rest in range(3):
+        build_gold(spark, lake, [day for day in days if day.day % 3 == rest])
+        refresh_day_totals(spark, lake)
+    build_dashboards(spark, lake)
+    return spark.read.schema(
+        "machine STRING, sensor STRING, avg_value DOUBLE, max_value DOUBLE, min_value DOUBLE,"
+        " total_readings BIGINT, anomaly_count BIGINT, anomaly_pct DOUBLE").json(f"{lake.dashboards}/machine_summary")
+
+
 def stored_gold(spark: SparkSession, sf_dir: str) -> Layout:
     """A lake that holds Silver and Gold of the feed."""
     lake = landed(spark, sf_dir)

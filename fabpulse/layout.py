@@ -29,6 +29,10 @@ class Layout:
     def dashboards(self) -> str:
         return f"{self.root}/dashboards"
 
+    @property
+    def day_totals(self) -> str:
+        return f"{self.root}/day_totals"
+
     def table(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 

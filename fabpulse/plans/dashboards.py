@@ -14,8 +14,9 @@ from fabpulse.operators.dashboards import (
     anomalies, anomaly_rate, day_totals, export_counts, live_readings, machine_summary,
     machine_totals, sensor_readings,
 )
+from fabpulse.plans.totals import refresh_day_totals
 from fabpulse.schemas import PARTITION_DAY
-from fabpulse.session import observing, settle
+from fabpulse.session import observing
 from fabpulse.sinks.files import write_dashboard
 from fabpulse.sources.tables import read_table
 
@@ -75,11 +76,12 @@ def first_days(days: DataFrame) -> dict[str, date | None]:
 def build_dashboards(spark: SparkSession, layout: Layout) -> dict[str, dict[str, int | None]]:
     """Write the datasets of the stored fact table; returns rows and anomalies of each.
 
-    The table is scanned once, for the day totals. These give both aggregates, and the
-    day partitions to which each listing of newest rows can confine itself.
+    The day totals are read as stored, after those of days that changed were computed again. They give both
+    aggregates, and the day partitions to which each listing of newest rows can confine itself; so of days that are
+    neither changed nor among the newest no fact is read.
     """
     fact = read_table(spark, layout, "fact_sensor_readings")
-    days = settle(day_totals(fact))
+    days = refresh_day_totals(spark, layout).totals
     facts = {
         name: fact if first is None else fact.filter(F.col(PARTITION_DAY) >= F.lit(first))
         for name, first in first_days(days).items()

@@ -132,3 +132,9 @@ TABLES = {
         ),
     )
 }
+
+# Stored totals of the fact table, partitioned by day.
+DAY_TOTALS = _struct(
+    machine=TEXT, sensor=TEXT, value_sum=NUMBER, value_count=T.LongType(), max_value=NUMBER, min_value=NUMBER,
+    total_readings=T.LongType(), anomaly_count=T.LongType(), day=DAY,
+)
