@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabpulse.config import ANOMALY_ROWS, ANOMALY_THRESHOLDS, DASHBOARD_ROWS
-from fabpulse.functions.rules import percent, rounded, threshold_status
+from fabpulse.functions.rules import lookup, percent, rounded, threshold_status
 from fabpulse.schemas import PARTITION_DAY
 
 # Output columns, by name.
@@ -33,6 +34,41 @@ def newest(readings: DataFrame, columns: Sequence[str | Column], limit: int) ->
     )
 
 
+def newest_by_listing(
+    fact: DataFrame, limits: Mapping[str, int], first_days: Mapping[str, date | None] | None = None,
+) -> DataFrame:
+    """The newest rows of every listing from one pass, with the name of their listing as `listing`.
+
+    Listings are the sensor types among `limits`, `live_readings` (all rows) and `anomalies`. A row takes part in
+    those it belongs to, from the first day that each needs. Every task keeps a listing's newest rows
+    before anything is shuffled, so what meets in one place does not depend on the number of readings.
+    """
+    first_days = first_days or {}
+
+    def member(name: str) -> Column:
+        if name == "live_readings":
+            belongs = F.lit(True)
+        elif name == "anomalies":
+            belongs = F.col("is_anomaly")
+        else:
+            belongs = F.col("sensor_type") == name
+        first = first_days.get(name)
+        recent = F.lit(True) if first is None else F.col(PARTITION_DAY) >= F.lit(first)
+        return F.when(belongs & recent, F.lit(name))
+
+    firsts = [first_days.get(name) for name in limits]
+    if firsts and None not in firsts:  # prunes the partitions that no listing needs
+        fact = fact.filter(F.col(PARTITION_DAY) >= F.lit(min(firsts)))
+    order = Window.partitionBy("listing").orderBy(F.col("reading_ts").desc_nulls_last(), "reading_id")
+    return (
+        fact.withColumn("listing", F.explode(F.array_compact(F.array(*map(member, limits)))))
+        .withColumn("_rank", F.row_number().over(order))
+        .filter((F.col("_rank") <= max(limits.values()))
+                & (F.col("_rank") <= lookup(F.col("listing"), limits)))
+        .drop("_rank")
+    )
+
+
 def sensor_readings(fact: DataFrame, sensor: str, limit: int = DASHBOARD_ROWS) -> DataFrame:
     above = threshold_status(F.col("reading_value"), ANOMALY_THRESHOLDS[sensor])
     return newest(

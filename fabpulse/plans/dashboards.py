@@ -12,11 +12,10 @@ from fabpulse.config import ANOMALY_ROWS, ANOMALY_THRESHOLDS, DASHBOARD_ROWS
 from fabpulse.layout import Layout
 from fabpulse.operators.dashboards import (
     anomalies, anomaly_rate, day_totals, export_counts, live_readings, machine_summary,
-    machine_totals, sensor_readings,
+    machine_totals, newest_by_listing, sensor_readings,
 )
 from fabpulse.plans.totals import refresh_day_totals
-from fabpulse.schemas import PARTITION_DAY
-from fabpulse.session import observing
+from fabpulse.session import observing, settle
 from fabpulse.sinks.files import write_dashboard
 from fabpulse.sources.tables import read_table
 
@@ -78,14 +77,13 @@ def build_dashboards(spark: SparkSession, layout: Layout) -> dict[str, dict[str,
 
     The day totals are read as stored, after those of days that changed were computed again. They give both
     aggregates, and the day partitions to which each listing of newest rows can confine itself; so of days that are
-    neither changed nor among the newest no fact is read.
+    neither changed nor among the newest no fact is read, and the newest are read once for all six listings.
     """
     fact = read_table(spark, layout, "fact_sensor_readings")
     days = refresh_day_totals(spark, layout).totals
-    facts = {
-        name: fact if first is None else fact.filter(F.col(PARTITION_DAY) >= F.lit(first))
-        for name, first in first_days(days).items()
-    }
+    # As many rows as the listings show, whatever the table holds.
+    newest = settle(newest_by_listing(fact, LISTINGS, first_days(days)))
+    facts = {name: newest.filter(F.col("listing") == name) for name in LISTINGS}
     stats = {}
     for name, dataset in _datasets(facts, days).items():
         written = Observation()
