@@ -296,6 +296,7 @@ STATEMENTS = {
         "SELECT machine_id, ROUND(AVG(avg_value), 8) AS mean_value FROM hourly GROUP BY machine_id",
     "stream_anomalies": "SELECT * FROM captured",
     "stream_restart": "SELECT * FROM captured",
+    "stream_in_batches": "SELECT reading_id, machine_id, sensor_type, status FROM captured",
     "anomaly_keys": """
         SELECT message_id AS reading_id, message_id IN (SELECT reading_id FROM captured) AS held
         FROM typed WHERE message_id IS NOT NULL GROUP BY message_id""",
@@ -306,6 +307,7 @@ STATEMENTS = {
 }
 STATEMENTS["silver_files"] = STATEMENTS["silver_incremental"] = STATEMENTS["silver_readings"]
 STATEMENTS["hourly_stored"] = STATEMENTS["hourly_summary_one_day"]
+STATEMENTS["rolling_refreshed"] = STATEMENTS["bq04_rolling_avg"]
 STATEMENTS["dash_refreshed"] = STATEMENTS["dash_machine_summary"]
 STATEMENTS["dash_stored"] = STATEMENTS["dash_live_readings"]
 STATEMENTS["report_stored"] = STATEMENTS["bq01_hot_machines"]

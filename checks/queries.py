@@ -25,6 +25,7 @@ from fabpulse.plans.dashboards import build_dashboards, datasets
 from fabpulse.plans.gold import build_gold
 from fabpulse.plans.hourly import run_hourly
 from fabpulse.plans.reports import run_business_queries
+from fabpulse.plans.rolling import refresh_rolling_average
 from fabpulse.plans.silver import build_silver
 from fabpulse.plans.totals import refresh_day_totals
 from fabpulse.schemas import ARRIVAL_COLUMNS, BRONZE, MESSAGE, PARTITION_DAY
@@ -36,7 +37,7 @@ from fabpulse.sources.literal import literal_rows
 from fabpulse.sources.tables import read_silver, read_table
 from fabpulse.streaming.anomalies import capture_anomalies
 from fabpulse.streaming.landing import write_bronze_stream
-from fabpulse.streaming.source import read_reading_stream
+from fabpulse.streaming.source import admission, read_reading_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -320,6 +321,18 @@ def bq04_rolling_avg_daily(spark, sf_dir):
     )
 
 
+@query
+def rolling_refreshed(spark, sf_dir):
+    """The rolling average as stored, refreshed after each of three loads that share their days."""
+    lake = landed(spark, sf_dir)
+    build_silver(spark, lake)
+    days = [r[0] for r in feed.payloads(feed.read_events(spark, sf_dir)).select("arrived").distinct().collect()]
+    for rest in (2, 0, 1):
+        build_gold(spark, lake, [day for day in days if day.day % 3 == rest])
+        refreshed = refresh_rolling_average(spark, lake)
+    return _eight_digits(refreshed.averages, "rolling_avg_7d")
+
+
 def _eight_digits(df: DataFrame, *columns: str) -> DataFrame:
     """Engines add up in different orders, so averages differ in the last bits."""
     return df.withColumns({c: rounded(F.col(c), 8) for c in columns})
@@ -554,6 +567,22 @@ def stream_restart(spark, sf_dir):
     return read_table(spark, lake, "anomaly_log").select(*CAPTURED)
 
 
+@query
+def stream_in_batches(spark, sf_dir):
+    """The log, of a stream that takes one file at a time: later deliveries of an id come in later micro-batches."""
+    lake = new_lake(spark)
+    folder = scratch_folder(spark, "topic")
+    lines = feed.payloads(feed.read_events(spark, sf_dir))
+    lines.repartitionByRange(6, "arrived").sortWithinPartitions("arrived").select("payload") \
+        .write.mode("overwrite").text(folder)
+    messages = read_reading_stream(spark, folder, **admission("text", files=1))
+    stream = capture_anomalies(messages, lake, availableNow=True)
+    stream.awaitTermination()
+    if sum(p["numInputRows"] > 0 for p in stream.recentProgress) < 2:
+        raise RuntimeError("the stream took everything at once")
+    return read_table(spark, lake, "anomaly_log").select("reading_id", "machine_id", "sensor_type", "status")
+
+
 @query
 def anomaly_keys(spark, sf_dir):
     """What the log's key index tells of all messages, after it took in the files of a captured stream."""

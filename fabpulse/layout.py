@@ -33,6 +33,9 @@ class Layout:
     def day_totals(self) -> str:
         return f"{self.root}/day_totals"
 
+    def rolling(self, sensor: str) -> str:
+        return f"{self.root}/rolling/{sensor}"
+
     def table(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabpulse.operators.business import of_sensor
+from fabpulse.schemas import PARTITION_DAY
 from fabpulse.session import settle
 
 ROLLING_READINGS = 7
@@ -22,6 +23,7 @@ ROLLING_DAYS = 7
 
 _LATEST = (1 << 63) - 1
 _ORDER = ("_us", "reading_id")
+_SERIES = ("machine_id", "reading_date", "reading_id", "_us")
 
 
 def rolling_avg_readings(
@@ -33,19 +35,28 @@ def rolling_avg_readings(
     Readings of a machine are ordered by time, then id; those without a time come last.
     This runs a job: the order of the readings is settled before anything is computed from it.
     """
-    back = readings - 1
+    series = readings_of(of_sensor(fact, dim_sensor, sensor))
+    return average_over(series, readings).orderBy("machine_id", *_ORDER).drop("_us")
+
+
+def readings_of(fact: DataFrame, *extra: str) -> DataFrame:
+    """What averages are made from, with time as a number, in which a missing one sorts last."""
     micros = F.unix_micros(F.col("reading_ts").cast("timestamp"))
-    series = in_order(of_sensor(fact, dim_sensor, sensor).select(
-        "machine_id", "reading_id", "reading_value",
-        F.to_date("reading_ts").alias("reading_date"),
-        # Time as a number, in which a missing one sorts last.
-        F.coalesce(micros, F.lit(_LATEST)).alias("_us"),
-    ))
+    return fact.select(
+        "machine_id", "reading_id", "reading_value", F.to_date("reading_ts").alias("reading_date"),
+        F.coalesce(micros, F.lit(_LATEST)).alias("_us"), *extra)
+
+
+def average_over(series: DataFrame, readings: int = ROLLING_READINGS) -> DataFrame:
+    """The rows of `readings_of`, each with the mean of it and the readings just before it."""
+    back = readings - 1
+    extra = [c for c in series.columns if c not in ("reading_value", *_SERIES)]
+    parts = in_order(series)
     in_part = Window.partitionBy("machine_id", "_part").orderBy(*_ORDER)
     in_machine = Window.partitionBy("machine_id").orderBy(*_ORDER)
     mean = F.avg("reading_value")
-    parts = series.select(
-        "machine_id", "reading_date", "reading_id", "reading_value", "_us",
+    parts = parts.select(
+        *_SERIES, "reading_value", *extra,
         mean.over(in_part.rowsBetween(-back, 0)).alias("rolling_avg_7d"),
         (F.row_number().over(in_part) <= back).alias("_head"),
         F.lead("_us", back).over(in_part).isNull().alias("_tail"),
@@ -57,9 +68,14 @@ def rolling_avg_readings(
         .withColumn("rolling_avg_7d", mean.over(in_machine.rowsBetween(-back, 0)))
         .filter("_head")
     )
-    columns = ["machine_id", "reading_date", "reading_id", "_us", "rolling_avg_7d"]
-    result = inner.select(*columns).unionByName(heads.select(*columns))
-    return result.orderBy("machine_id", *_ORDER).drop("_us")
+    columns = [*_SERIES, "rolling_avg_7d", *extra]
+    return inner.select(*columns).unionByName(heads.select(*columns))
+
+
+def last_of_day(series: DataFrame, readings: int = ROLLING_READINGS) -> DataFrame:
+    """Of each machine and `partition_day` the last readings, which averages of later days may need."""
+    order = Window.partitionBy("machine_id", PARTITION_DAY).orderBy(F.desc("_us"), F.desc("reading_id"))
+    return series.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") < readings).drop("_rank")
 
 
 def in_order(series: DataFrame) -> DataFrame:

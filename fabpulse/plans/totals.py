@@ -9,28 +9,20 @@ before the names are, so a run that fails in between computes the same days agai
 
 from __future__ import annotations
 
-import hashlib
-import uuid
-from collections import defaultdict
 from dataclasses import dataclass
-from datetime import date
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fabpulse.layout import Layout
 from fabpulse.operators.dashboards import day_totals
-from fabpulse.schemas import DAY_TOTALS, PARTITION_DAY
+from fabpulse.schemas import DAY_TOTALS
 from fabpulse.session import file_system
+from fabpulse.sinks.day_files import files_by_day, in_days, store_names, stored_names
 from fabpulse.sinks.files import replacing_partitions
 from fabpulse.sources.literal import literal_rows
 from fabpulse.sources.tables import table_or_none
 
 FACT = "fact_sensor_readings"
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # how a partition without a value is named
-_NAMES = T.StructType([T.StructField("day", T.StringType()), T.StructField("files", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -44,18 +36,18 @@ class Refreshed:
 
 def refresh_day_totals(spark: SparkSession, layout: Layout) -> Refreshed:
     fact = table_or_none(spark, layout, FACT)
-    now = {} if fact is None else _files_by_day(fact)
-    before = _stored_names(spark, layout)
+    now = {} if fact is None else files_by_day(fact)
+    before = stored_names(spark, layout.day_totals)
     computed = frozenset(day for day, files in now.items() if before.get(day) != files)
     dropped = frozenset(before.keys() - now.keys())
     if computed:
-        changed = fact.filter(_in_days(computed))
+        changed = fact.filter(in_days(computed))
         replacing_partitions(day_totals(changed), ["day"]).parquet(f"{layout.day_totals}/days")
     for day in dropped:
         path, files = file_system(spark, f"{layout.day_totals}/days/day={day}")
         files.delete(path, True)
     if computed or dropped:
-        _store_names(spark, layout, now)
+        store_names(spark, layout.day_totals, now)
     return Refreshed(_read_totals(spark, layout, bool(now)), computed, dropped)
 
 
@@ -63,41 +55,3 @@ def _read_totals(spark: SparkSession, layout: Layout, any_day: bool) -> DataFram
     if not any_day:
         return literal_rows(spark, [], DAY_TOTALS)
     return spark.read.schema(DAY_TOTALS).parquet(f"{layout.day_totals}/days")
-
-
-def _files_by_day(fact: DataFrame) -> dict[str, str]:
-    """For each partition a digest of its files' names, from Spark's own listing of the table."""
-    days = defaultdict(list)
-    for uri in fact.inputFiles():
-        folder, _, file = uri.rpartition("/")
-        days[unquote(folder.rpartition(f"{PARTITION_DAY}=")[2])].append(file)
-    return {day: hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest() for day, files in days.items()}
-
-
-def _in_days(days: frozenset[str]):
-    day = F.col(PARTITION_DAY)
-    dated = day.isin([date.fromisoformat(d) for d in days if d != NO_DAY])
-    return dated | day.isNull() if NO_DAY in days else dated
-
-
-def _stored_names(spark: SparkSession, layout: Layout) -> dict[str, str]:
-    """One entry per day of the calendar. Of files left by a run that failed in between, the latest counts."""
-    path, files = file_system(spark, f"{layout.day_totals}/names")
-    if not files.exists(path):
-        return {}
-    latest = max(status.getPath().getName() for status in files.listStatus(path))
-    rows = spark.read.schema(_NAMES).json(f"{path.toString()}/{latest}").collect()
-    return {row["day"]: row["files"] for row in rows}
-
-
-def _store_names(spark: SparkSession, layout: Layout, names: dict[str, str]) -> None:
-    """Publish a folder of names by one rename, under the next number, and remove those before it."""
-    folder, files = file_system(spark, f"{layout.day_totals}/names")
-    files.mkdirs(folder)
-    old = sorted(status.getPath().getName() for status in files.listStatus(folder))
-    number = int(old[-1].removeprefix("n")) + 1 if old else 0
-    staged, _ = file_system(spark, f"{layout.day_totals}/_{uuid.uuid4().hex}")
-    literal_rows(spark, sorted(names.items()), _NAMES).coalesce(1).write.json(staged.toString())
-    files.rename(staged, file_system(spark, f"{folder.toString()}/n{number:012}")[0])
-    for name in old:
-        files.delete(file_system(spark, f"{folder.toString()}/{name}")[0], True)

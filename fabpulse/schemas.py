@@ -138,3 +138,9 @@ DAY_TOTALS = _struct(
     machine=TEXT, sensor=TEXT, value_sum=NUMBER, value_count=T.LongType(), max_value=NUMBER, min_value=NUMBER,
     total_readings=T.LongType(), anomaly_count=T.LongType(), day=DAY,
 )
+
+# Stored rolling averages, and each day's last readings; both partitioned by day.
+ROLLING = _struct(
+    machine_id=TEXT, reading_date=DAY, reading_id=TEXT, rolling_avg_7d=NUMBER, partition_day=DAY)
+LAST_READINGS = _struct(
+    machine_id=TEXT, reading_id=TEXT, reading_value=NUMBER, reading_date=DAY, _us=T.LongType(), partition_day=DAY)

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from fabpulse.operators.dashboards import day_totals
 from fabpulse.plans import totals
 from fabpulse.plans.dashboards import build_dashboards, datasets
-from fabpulse.plans.totals import FACT, NO_DAY, refresh_day_totals
+from fabpulse.plans.totals import FACT, refresh_day_totals
 from fabpulse.schemas import TABLES
+from fabpulse.sinks.day_files import NO_DAY
 from fabpulse.sinks.tables import append_missing, ensure_table, replace_rows
 from fabpulse.sources.tables import read_table
 
@@ -83,7 +84,7 @@ def test_a_run_that_failed_before_it_wrote_the_names(spark, filled, monkeypatch)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as broken, pytest.raises(RuntimeError):
-        broken.setattr(totals, "_store_names", fail)
+        broken.setattr(totals, "store_names", fail)
         refresh_day_totals(spark, filled)
     refreshed = refresh_day_totals(spark, filled)
     assert refreshed.computed == {"2024-01-01"}
