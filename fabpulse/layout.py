@@ -14,9 +14,14 @@ class Layout:
         return f"{self.root}/bronze"
 
     @property
-    def silver(self) -> str:
+    def deliveries(self) -> str:
+        """Silver and the deliveries behind it, as partitions `place=first` and `place=later`."""
         return f"{self.root}/silver"
 
+    @property
+    def silver(self) -> str:
+        return f"{self.deliveries}/place=first"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabpulse.config import ANOMALY_THRESHOLDS
 from fabpulse.functions.rules import exceeds_threshold, shift_of
 from fabpulse.functions.typed import with_ingested_at, with_reading_ts, with_reading_value
 from fabpulse.operators.dedup import first_per_key
-from fabpulse.schemas import ARRIVAL_COLUMNS
+from fabpulse.schemas import ARRIVAL_COLUMNS, FIRST, LATER, PLACE
 
 
 def type_readings(messages: DataFrame, now: datetime | None = None) -> DataFrame:
@@ -48,6 +48,19 @@ def dedup_readings(
     return first_per_key(df, keys, order_by or delivery_order(df))
 
 
+def daily_deliveries(typed: DataFrame) -> DataFrame:
+    """Typed messages to Silver rows, one for each message and arrival day: its first delivery of that day."""
+    good, _ = split_quarantine(typed)
+    return with_shift(with_is_anomaly(dedup_readings(good, ("message_id", *ARRIVAL_COLUMNS))))
+
+
+def with_place(deliveries: DataFrame) -> DataFrame:
+    """Add whether a delivery is its message's first of all days; a message has at most one row a day."""
+    order = Window.partitionBy("message_id").orderBy(*delivery_order(deliveries))
+    return deliveries.withColumn(
+        PLACE, F.when(F.row_number().over(order) == 1, FIRST).otherwise(LATER))
+
+
 def with_is_anomaly(
     df: DataFrame, thresholds: Mapping[str, float] = ANOMALY_THRESHOLDS,
 ) -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.layout import Layout
-from fabpulse.operators.silver import is_rejected, refine, split_quarantine, type_readings
-from fabpulse.schemas import ARRIVAL_COLUMNS, CORRUPT_RECORD, SILVER
+from fabpulse.operators.silver import (
+    daily_deliveries, is_rejected, split_quarantine, type_readings, with_place,
+)
+from fabpulse.schemas import ARRIVAL_COLUMNS, CORRUPT_RECORD, DELIVERIES, FIRST, LATER, PLACE
 from fabpulse.session import file_system, observing, settle
-from fabpulse.sinks.files import drop_days, write_quarantine, write_silver
+from fabpulse.sinks.files import drop_days, write_deliveries, write_quarantine
 from fabpulse.sources.bronze import arrival_date, read_bronze
-from fabpulse.sources.tables import read_silver
 
 
 def build_silver(
@@ -33,7 +34,7 @@ def build_silver(
     days = None if partitions is None else sorted(set(partitions))
     typed = type_readings(read_bronze(spark, layout.bronze, days), now)
     read = Observation()
-    rows = refine(
+    rows = daily_deliveries(
         typed.observe(
             read,
             F.count(F.lit(1)).alias("input_rows"),
@@ -45,16 +46,15 @@ def build_silver(
     with observing(spark):
         if days is None:
             written = Observation()
-            write_silver(rows.observe(
+            first = F.col(PLACE) == FIRST
+            write_deliveries(with_place(rows).observe(
                 written,
-                F.count(F.lit(1)).alias("silver_rows"),
-                F.size(F.collect_set(F.struct(*ARRIVAL_COLUMNS))).alias("partitions"),
-            ), layout.silver)
+                F.count_if(first).alias("silver_rows"),
+                F.size(F.collect_set(F.when(first, F.struct(*ARRIVAL_COLUMNS)))).alias("partitions"),
+            ), layout.deliveries)
             metrics = {**read.get, **written.get}
         else:
             counts = _merge_days(spark, layout, settle(rows), days)
-            if counts is None:  # a message left these days, and another copy has to take its place
-                return build_silver(spark, layout, None, now)
             metrics = {**read.get, **counts}
     rejected_days = metrics.pop("rejected_days")
     # The same frame, so the same files as were counted above.
@@ -71,41 +71,44 @@ def build_silver(
 
 def _merge_days(
     spark: SparkSession, layout: Layout, rows: DataFrame, days: list[date],
-) -> dict[str, int] | None:
-    """Write the rows of some arrival days, against copies that Silver holds in others.
+) -> dict[str, int]:
+    """Write the deliveries of some arrival days, against those that are stored of others.
 
-    Of the other days only the keys are read, and the days in which a copy loses are rewritten.
-    Returns None, with nothing written, if Silver holds messages in these days that are no longer
-    among `rows`: which copy comes next is only known to Bronze.
+    Every message of these days, before or now, has its first delivery chosen anew among those of all days; the
+    stored ones that are not first are kept for that, so no other day is read from Bronze. Of
+    the other days only the keys and times are read, and those rewritten in which a delivery changes its place.
     """
-    stored = _silver_or_empty(spark, layout)
+    stored = _deliveries_or_empty(spark, layout)
     here = arrival_date().isin(days)
-    ids = rows.select("message_id")
-    left = stored.filter(here).select("message_id").join(ids, "message_id", "left_anti")
-    if not left.isEmpty():
-        return None
-    rivals = stored.filter(~here).select(
-        "message_id", F.struct(*_delivery(), *ARRIVAL_COLUMNS).alias("theirs"))
-    met = settle(
-        rivals.join(ids, "message_id", "left_semi")
-        .join(rows.select("message_id", F.struct(*_delivery()).alias("ours")), "message_id")
-        .select("message_id", "theirs.*",
-                (F.struct(F.col("theirs.undated"), F.col("theirs.reading_ts"), F.col("theirs.arrived"))
-                 < F.col("ours")).alias("theirs_first")))
-    kept = rows.join(met.filter("theirs_first"), "message_id", "left_anti")
-    losing = met.filter("NOT theirs_first")
+    asked = rows.select("message_id").union(stored.filter(here).select("message_id")).distinct()
+    others = stored.filter(~here).select("message_id", *_delivery(), PLACE).join(asked, "message_id", "left_semi")
+    delivery = F.struct("undated", "reading_ts", "arrived")
+    best = settle(
+        others.drop(PLACE).unionByName(rows.select("message_id", *_delivery()))
+        .groupBy("message_id").agg(F.min(delivery).alias("best")).select("message_id", "best.arrived"))
+    placed = rows.join(best.withColumnRenamed("arrived", "_best"), "message_id").withColumn(
+        PLACE, F.when(arrival_date() == F.col("_best"), FIRST).otherwise(LATER)).drop("_best")
+    moved = settle(
+        others.join(best.withColumnRenamed("arrived", "_best"), "message_id")
+        .withColumn("_place", F.when(F.col("arrived") == F.col("_best"), FIRST).otherwise(LATER))
+        .filter(F.col("_place") != F.col(PLACE)).select("message_id", "arrived", "_place"))
     # One row per day of the calendar at most.
-    changed = [r[0] for r in losing.select(arrival_date()).distinct().collect()]
-    rebuilt = stored.filter(arrival_date().isin(changed)).join(losing, "message_id", "left_anti")
-    columns = SILVER.fieldNames()
+    changed = [r[0] for r in moved.select("arrived").distinct().collect()]
+    rebuilt = (
+        stored.filter(arrival_date().isin(changed)).withColumn("arrived", arrival_date())
+        .join(moved, ["message_id", "arrived"], "left")
+        .withColumn(PLACE, F.coalesce("_place", PLACE)).drop("_place", "arrived"))
+    columns = DELIVERIES.fieldNames()
     # Settled before the write, which replaces the very files `stored` reads.
-    result = settle(kept.select(*columns).unionByName(rebuilt.select(*columns)))
-    counted = {r["day"]: r["count"]
-               for r in result.groupBy(arrival_date().alias("day")).count().collect()}
+    result = settle(placed.select(*columns).unionByName(rebuilt.select(*columns)))
+    counted = {(r[PLACE], r["day"]): r["count"]
+               for r in result.groupBy(PLACE, arrival_date().alias("day")).count().collect()}
     if counted:
-        write_silver(result, layout.silver, days)
-    drop_days(spark, layout.silver, {*days, *changed}.difference(counted))
-    ours = {day: n for day, n in counted.items() if day in days}
+        write_deliveries(result, layout.deliveries, days)
+    for place in (FIRST, LATER):
+        held = {day for of, day in counted if of == place}
+        drop_days(spark, f"{layout.deliveries}/{PLACE}={place}", {*days, *changed}.difference(held))
+    ours = {day: n for (place, day), n in counted.items() if place == FIRST and day in days}
     return {"silver_rows": sum(ours.values()), "partitions": len(ours)}
 
 
@@ -115,8 +118,8 @@ def _delivery() -> list[Column]:
             arrival_date().alias("arrived")]
 
 
-def _silver_or_empty(spark: SparkSession, layout: Layout) -> DataFrame:
-    path, files = file_system(spark, layout.silver)
+def _deliveries_or_empty(spark: SparkSession, layout: Layout) -> DataFrame:
+    path, files = file_system(spark, layout.deliveries)
     if files.exists(path):
-        return read_silver(spark, layout.silver)
-    return spark.createDataFrame([], SILVER)
+        return spark.read.schema(DELIVERIES).parquet(layout.deliveries)
+    return spark.createDataFrame([], DELIVERIES)

@@ -35,6 +35,10 @@ SILVER = T.StructType([
     *ARRIVAL.fields,
 ])
 
+# One delivery of each message for every day it arrived on. Of a message's deliveries one is the `first`: Silver.
+PLACE, FIRST, LATER = "place", "first", "later"
+DELIVERIES = T.StructType([*SILVER.fields, T.StructField(PLACE, T.StringType())])
+
 
 INT, TEXT, NUMBER = T.IntegerType(), T.StringType(), T.DoubleType()
 FLAG, DAY, TIME = T.BooleanType(), T.DateType(), T.TimestampType()

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
-from fabpulse.schemas import ARRIVAL_COLUMNS
+from fabpulse.schemas import ARRIVAL_COLUMNS, FIRST, PLACE
 from fabpulse.session import file_system
 
 
@@ -37,17 +37,20 @@ def drop_days(spark: SparkSession, root: str, days: Iterable[date]) -> None:
             files.delete(path, True)
 
 
-def write_silver(df: DataFrame, root: str, days: list[date] | None = None) -> None:
-    """Replace all of Silver, or the partitions present in `df` when `days` are given.
+def write_deliveries(df: DataFrame, root: str, days: list[date] | None = None) -> None:
+    """Replace all deliveries, or the partitions present in `df` when `days` are given.
 
-    Those of `days` that `df` doesn't hold have to be dropped by the caller, see `drop_days`.
+    Silver and the deliveries behind it are partitions of one table, so both change in one commit. Those of
+    `days` that `df` doesn't hold have to be dropped by the caller, see `drop_days`.
     """
     replace = replacing_all if days is None else replacing_partitions
-    replace(df, ARRIVAL_COLUMNS).parquet(root)
+    replace(df, (PLACE, *ARRIVAL_COLUMNS)).parquet(root)
+    path, files = file_system(df.sparkSession, f"{root}/{PLACE}={FIRST}")
+    files.mkdirs(path)  # Silver exists, without rows too
 
 
 def write_quarantine(bad: DataFrame, root: str, days: list[date] | None = None) -> None:
-    """As `write_silver`, for rejected messages."""
+    """Replace all rejected messages, or the partitions present in `bad` when `days` are given."""
     replace = replacing_all if days is None else replacing_partitions
     replace(bad, ARRIVAL_COLUMNS).json(root)
 

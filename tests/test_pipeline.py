@@ -1,4 +1,5 @@
 import json
+import shutil
 from datetime import date, datetime
 from pathlib import Path
 
@@ -309,3 +310,34 @@ def test_a_message_that_leaves_a_day_makes_way(spark, lake):
     land(lake, "2024-01-15", message("z", value="9", ts="2024-01-15T10:00:00+00:00"))
     build_silver(spark, lake, days_of(15))
     assert silver_rows(spark, lake) == [("a", 2.0, 16), ("z", 9.0, 15)]
+
+
+def test_no_other_day_is_read_from_bronze(spark, lake):
+    """The next delivery of a message that left its day is named by what is stored."""
+    land(lake, "2024-01-15", message("a", value="1", ts="2024-01-15T10:00:00+00:00"), message("b", value="3"))
+    land(lake, "2024-01-16", message("a", value="2", ts="2024-01-16T10:00:00+00:00"),
+         message("b", value="4", ts="2024-01-15T09:00:00+00:00"))
+    land(lake, "2024-01-17", message("a", value="5", ts=None), message("c", value="6"))
+    build_silver(spark, lake)
+    for day in (15, 16, 17):
+        shutil.rmtree(Path(lake.bronze) / f"year=2024/month=01/day={day}")
+    land(lake, "2024-01-15", message("z", value="9"))
+    build_silver(spark, lake, days_of(15))
+    assert silver_rows(spark, lake) == [("a", 2.0, 16), ("b", 4.0, 16), ("c", 6.0, 17), ("z", 9.0, 15)]
+    build_silver(spark, lake, days_of(16))  # whose messages are all gone
+    assert silver_rows(spark, lake) == [("a", 5.0, 17), ("c", 6.0, 17), ("z", 9.0, 15)]
+    assert not list(Path(lake.deliveries).glob("place=later/**/*.parquet"))
+
+
+def test_a_corrected_day_changes_only_days_it_meets(spark, lake):
+    land(lake, "2024-01-15", message("a", value="1", ts="2024-01-15T10:00:00+00:00"))
+    land(lake, "2024-01-16", message("a", value="2", ts="2024-01-16T10:00:00+00:00"), message("b"))
+    land(lake, "2024-01-17", message("c"))
+    build_silver(spark, lake)
+    untouched = set(Path(lake.deliveries).glob("place=*/**/day=17/*.parquet"))
+    for file in Path(lake.bronze).glob("year=2024/month=01/day=15/*.json"):
+        file.unlink()
+    land(lake, "2024-01-15", message("a", value="7", ts="2024-01-17T10:00:00+00:00"))
+    build_silver(spark, lake, days_of(15))
+    assert silver_rows(spark, lake) == [("a", 2.0, 16), ("b", 50.0, 16), ("c", 50.0, 17)]
+    assert untouched and untouched == set(Path(lake.deliveries).glob("place=*/**/day=17/*.parquet"))
