@@ -103,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op5_tool_calls": tool_calls.ORACLE,
+    "op6_exact_top_k": cover_tree.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op11_turn_repair": turn_repair.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,

@@ -10,7 +10,6 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from test_cover_tree import brute as brute_top_k
 from test_quality_rules import brute_counts
 from test_rans import expected as expected_store
 from test_sharding import check_law
@@ -34,7 +33,7 @@ def result(llm, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(llm, name):
     con = duckdb.connect()
-    for source in ("documents", "conversations"):
+    for source in ("documents", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {source} AS FROM '{SF_DIR}/{source}.parquet'")
     found, wanted = result(llm, name), con.sql(ORACLES[name])
     assert found.columns == wanted.columns
@@ -71,11 +70,6 @@ def test_op4(llm):
     assert sorted(found) == sorted(expected_pages(pages))
 
 
-def test_op6(llm):
-    rows = table(llm, "embeddings", "vec_id", "embedding")
-    assert sorted(map(tuple, result(llm, "op6_exact_top_k").collect())) == sorted(brute_top_k(rows))
-
-
 def test_op7(llm):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
