@@ -78,7 +78,7 @@ def op10_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "token-store")
     rans.write_store(docs, path, definition, end_id=2, added_tokens=True)
-    return rans.read_store(spark, path).drop("ids")
+    return rans.read_store(spark, path, with_ids=False)
 
 
 def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,6 +291,7 @@ def write_store(docs: DataFrame, path: str, definition: str, end_id: int, *,
     table = count_tokens(drafts)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _tokenizer.cache_clear()
         for batch in batches:
             for at in range(batch.num_rows):
                 one = batch.slice(at, 1)
@@ -319,12 +320,17 @@ def read_table(spark: SparkSession, path: str) -> Table:
     return Table(rows["id"].to_numpy(), rows["frequency"].to_numpy())
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of each document, decoded and checked."""
+def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of each document, decoded and checked.
+
+    Without `ids` all is decoded and checked the same, but no ids go back to the JVM.
+    """
     table = read_table(spark, path)
-    names = ["part", "doc_id", "offset", "n_tokens", "ids_crc32", "ids"]
+    columns = {"part": "int", "doc_id": "long", "offset": "long", "n_tokens": "long",
+               "ids_crc32": "long", **({"ids": "binary"} if with_ids else {})}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _tokenizer.cache_clear()  # what a reused worker remembers of chunks
         for batch in batches:
             for row in range(batch.num_rows):
                 part, start, doc_ids, sizes, crcs, coded = (
@@ -333,19 +339,19 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
                 ids = CodedBlock(coded.as_buffer()).decode(table).astype("<u4")
                 counts = np.array(sizes.as_py(), np.int64)
                 ends = np.cumsum(counts)
-                texts = [piece.tobytes() for piece in np.split(ids, ends[:-1])]
-                found = [zlib.crc32(text) for text in texts]
+                pieces = np.split(ids, ends[:-1])
+                found = list(map(zlib.crc32, pieces))
                 if found != crcs.as_py() or int(ends[-1]) != len(ids):
                     raise ValueError("a block's documents do not meet their checksums")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.as_py()] * len(counts), pa.int32()), doc_ids.values,
-                     pa.array(start.as_py() + ends - counts), pa.array(counts),
-                     pa.array(found, pa.int64()), pa.array(texts, pa.binary())], names)
+                values = [pa.array([part.as_py()] * len(counts), pa.int32()), doc_ids.values,
+                          pa.array(start.as_py() + ends - counts), pa.array(counts),
+                          pa.array(found, pa.int64())]
+                if with_ids:
+                    values.append(pa.array([piece.tobytes() for piece in pieces], pa.binary()))
+                yield pa.RecordBatch.from_arrays(values, list(columns))
 
     decoded = spark.read.parquet(f"{path}/blocks").mapInArrow(
-        read, "part int, doc_id long, offset long, n_tokens long, ids_crc32 long, ids binary")
-    # As many rows as there were tasks, a few numbers each.
-    parts = F.broadcast(spark.read.parquet(f"{path}/parts"))
-    return decoded.join(parts, "part").select(
-        "doc_id", (F.col("ids_before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32",
-        "ids")
+        read, ", ".join(f"{name} {kind}" for name, kind in columns.items()))
+    # As many rows as there were tasks, a few numbers each; Spark broadcasts them by their size.
+    return decoded.join(spark.read.parquet(f"{path}/parts"), "part").select(
+        "doc_id", (F.col("ids_before") + F.col("offset")).alias("start"), *list(columns)[3:])

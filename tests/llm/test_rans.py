@@ -141,3 +141,12 @@ def test_query_reads_added_tokens(documents, llm, tmp_path):
         start += len(ids)
     found = QUERIES["op10_rans_store"](llm, str(tmp_path))
     assert sorted(map(tuple, found.collect())) == wanted
+
+
+def test_without_ids_the_same_documents(llm, documents, tmp_path):
+    docs = documents(*((i, "one two three " * (i % 5)) for i in range(60)), (None, "x"), (61, None))
+    path = str(tmp_path / "store")
+    rans.write_store(docs, path, DEFINITION, end_id=2)
+    full, plain = rans.read_store(llm, path), rans.read_store(llm, path, with_ids=False)
+    assert plain.columns == full.columns[:-1] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(plain.collect(), key=repr) == sorted(full.drop("ids").collect(), key=repr)
