@@ -6,7 +6,10 @@ import re
 from collections.abc import Callable, Iterable
 
 GROUP_CHARS = 1 << 21  # of texts whose chunks are looked up together
-KNOWN_CHUNKS = 250_000  # of a generation; a worker remembers two
+# Of a generation, of which a worker remembers two.
+KNOWN_CHUNKS, KNOWN_BYTES = 250_000, 64 << 20
+LONGEST_KNOWN = 200  # characters of a remembered chunk
+ENTRY_BYTES = 200  # of a remembered chunk, beside its characters and codes
 
 # The white space that separates words, and the characters counted as symbols.
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -65,15 +68,17 @@ def _single_spaces(text: str) -> str:
 
 
 class ChunkMemory:
-    """Encodes texts chunk by chunk and remembers what chunks encode to, a bounded number of them.
+    """Encodes texts chunk by chunk and remembers what chunks encode to, within a bound of bytes.
 
-    `learn` encodes distinct chunks, at most `at_once` in a call.
+    `learn` encodes distinct chunks, at most `at_once` in a call. Long chunks, such as texts without
+    spaces, are encoded anew for each group of texts.
     """
 
     def __init__(self, learn: Callable[[list[str]], Iterable[bytes]], at_once: int):
         self.learn, self.at_once = learn, at_once
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """What each whole text encodes to; a null text is the empty one."""
@@ -89,17 +94,25 @@ class ChunkMemory:
         return found + self._group(group)
 
     def _group(self, parts: list[list[str]]) -> list[bytes]:
-        if len(self.known) > KNOWN_CHUNKS:  # what no text asks for again is forgotten
-            self.known, self.older = {}, self.known
+        if len(self.known) > KNOWN_CHUNKS or self.held > KNOWN_BYTES:
+            # What no text asks for again is forgotten.
+            self.known, self.older, self.held = {}, self.known, 0
         first = [list(map(self.known.get, part)) for part in parts]
         new: set[str] = set()
         for part, codes in zip(parts, first):
             if None in codes:
                 new.update(chunk for chunk, code in zip(part, codes) if code is None)
-        self.known.update((chunk, self.older[chunk]) for chunk in new if chunk in self.older)
+        found = {chunk: self.older[chunk] for chunk in new if chunk in self.older}
         waiting = [chunk for chunk in new if chunk not in self.older]
         for low in range(0, len(waiting), self.at_once):
             some = waiting[low:low + self.at_once]
-            self.known.update(zip(some, self.learn(some)))
-        return [b"".join(map(self.known.__getitem__, part) if None in codes else codes)
-                for part, codes in zip(parts, first)]
+            found.update(zip(some, self.learn(some)))
+        for part, codes in zip(parts, first):
+            if None in codes:
+                codes[:] = [found[chunk] if code is None else code for chunk, code in zip(part, codes)]
+        if len(found) and max(map(len, found)) > LONGEST_KNOWN:
+            found = {chunk: code for chunk, code in found.items() if len(chunk) <= LONGEST_KNOWN}
+        self.known.update(found)
+        self.held += (4 * sum(map(len, found)) + sum(map(len, found.values()))
+                      + ENTRY_BYTES * len(found))
+        return [b"".join(codes) for codes in first]

@@ -71,3 +71,14 @@ def test_empty_table_and_null_ids(documents, llm):
     ids = llm.createDataFrame([(None,), (bytearray(expected("a b")),)], "ids binary")
     found = [r[0] for r in ids.select(byte_bpe.decoded(ids.ids, RANKS, PATTERN)).collect()]
     assert found == [None, b"a b"]
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(words, "KNOWN_BYTES", 50_000)
+    monkeypatch.setattr(words, "GROUP_CHARS", 5_000)
+    texts = [f"w{i} " * 20 + "漢字" * (50 + i) for i in range(400)]
+    memory = words.ChunkMemory(lambda some: [chunk.encode() for chunk in some], 100)
+    assert memory.encode(texts) == [text.encode() for text in texts]
+    for known in (memory.known, memory.older):
+        assert max(map(len, known)) <= words.LONGEST_KNOWN
+        assert sum(4 * len(chunk) + len(code) + words.ENTRY_BYTES for chunk, code in known.items()) < 120_000
