@@ -8,7 +8,7 @@ per language, is all a prediction needs. Scores are calibrated by a temperature,
 threshold is read off the scores of sample documents that were not trained on.
 
 Defined results: a null text, or one without a letter, is `und` with score 0 and rejected. Very
-long texts are read in slices whose edges count as word edges. Without any labelled text every
+long texts are read in slices that overlap, so that no subword is lost or added. Without any labelled text every
 document is `und`. Repeated rows are predicted one by one.
 """
 
@@ -40,22 +40,26 @@ def _letters() -> np.ndarray:
 def subword_slices(text: str, buckets: int):
     """The buckets of all subwords of a whole text, slice by slice; nothing without a letter."""
     shift = np.uint32(32 - (buckets.bit_length() - 1))
-    for start in range(0, len(text), SLICE):
-        piece = text[start:start + SLICE].lower().encode("utf-32-le")
+    lowered = text.lower()
+    for start in range(0, len(lowered) + 1, SLICE):
+        # Subwords that begin here, counting from the edge before the text; they reach three letters on.
+        piece = lowered[max(0, start - 1):start + SLICE + 2].encode("utf-32-le")
         points = np.frombuffer(piece, np.uint32)
         letter = _letters()[points]
         if not letter.any():
             continue
-        codes = np.zeros(len(points) + 2, np.uint32)
-        inner = np.zeros(len(points) + 2, bool)
-        inner[1:-1] = letter
-        codes[1:-1] = np.where(letter, points, np.uint32(0))
+        edged = min(SLICE + 3, len(lowered) + 2 - start)
+        codes, inner = np.zeros(edged, np.uint32), np.zeros(edged, bool)
+        own = slice(int(start == 0), int(start == 0) + len(points))
+        inner[own] = letter
+        codes[own] = np.where(letter, points, np.uint32(0))
         pairs = codes[:-1] * _STEP + codes[1:]
         triples = pairs[:-1] * _STEP + codes[2:]
         fours = triples[:-1] * _STEP + codes[3:]
         middle = inner[1:-2] & inner[2:-1]
         found = np.concatenate((
-            pairs[inner[:-1] | inner[1:]], triples[inner[1:-1]], fours[middle]))
+            pairs[:SLICE][(inner[:-1] | inner[1:])[:SLICE]], triples[:SLICE][inner[1:-1][:SLICE]],
+            fours[:SLICE][middle[:SLICE]]))
         yield (found * _MIX) >> shift
 
 

@@ -51,8 +51,15 @@ def test_without_labels_everything_is_undetermined(documents):
         assert [r.language.lang_pred for r in lid.identify(docs, model).collect()] in ([], ["und"])
 
 
-def test_slices_of_long_texts_add_up():
-    text = "the thing " * 120_000
-    half = text[:lid.SLICE], text[lid.SLICE:]
-    assert np.array_equal(lid.bucket_counts(text, 64), sum(lid.bucket_counts(t, 64) for t in half))
+def test_slices_of_long_texts_add_up(monkeypatch):
+    random = np.random.default_rng(2)
+    for letters in ("ab c", "abcdefgh", " ,.x", "aΣİ ς"):
+        for n in (0, 1, 2, 6, 7, 8, 14, 100):
+            text = "".join(random.choice(list(letters), n))
+            with monkeypatch.context() as patch:
+                whole = lid.bucket_counts(text, 64)
+                patch.setattr(lid, "SLICE", 7)
+                assert np.array_equal(lid.bucket_counts(text, 64), whole)
     assert lid.bucket_counts("ab", 64).sum() == 3 + 2 + 1  # pairs _a ab b_, triples, whole
+    text = "x" * (lid.SLICE + 5)
+    assert lid.bucket_counts(text, 64).sum() == 3 * len(text)
