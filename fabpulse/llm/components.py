@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from fabpulse.session import settle
+from fabpulse.llm.scratch import stored
+from fabpulse.session import observing
 
 
 def _with_least(pairs: DataFrame) -> DataFrame:
     """Add to each pair (u, v) the least node among u and its partners.
 
-    The minimum is aggregated before the join, and the join may split a hub's rows.
+    The minimum is aggregated before the join, and the join may split a hub's rows. Both sides are as
+    long as the edges, so they are merged: broadcasts of many rounds would stay on the driver.
     """
     least = (pairs.groupBy("u").agg(F.min("v").alias("least"))
              .select("u", F.least("u", "least").alias("least")))
-    return pairs.join(least, "u")
+    return pairs.hint("merge").join(least, "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,9 +35,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _mark(edges: DataFrame) -> Row:
-    """Tells edge sets apart; both stars leave a finished one as it is."""
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+def _kept(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a table, and what tells edge sets apart; both come from one job.
+
+    Both stars leave a finished set as it is. A task that runs twice could only make sets differ.
+    """
+    mark = Observation()
+    with observing(edges.sparkSession):
+        table = stored(edges.observe(
+            mark, F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("sum")), "edges")
+    return table, mark.get
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,14 +53,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Nodes without a link to another are left out, null nodes too. Repeated links, links in both
     directions and links of a node to itself are allowed; no links give no rows. The number of
-    rounds grows with the logarithm of the longest chain; each cuts the lineage by a checkpoint.
+    rounds grows with the logarithm of the longest chain; each is one job that writes a table.
     """
-    now = settle(
+    now, mark = _kept(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .where("u <> v").distinct())
-    before, mark = None, _mark(now)
+    before = None
     while mark != before:
-        now = settle(_small_star(_large_star(now)))
-        before, mark = mark, _mark(now)
+        before = mark
+        now, mark = _kept(_small_star(_large_star(now)))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         now.select("v", "v").distinct())
