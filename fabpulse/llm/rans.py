@@ -34,17 +34,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.llm.scratch import stored
-from fabpulse.llm.words import GROUP_CHARS, ChunkMemory, is_word
+from fabpulse.llm.words import ChunkMemory, is_word
 
 # The coder: states in [LOW, LOW << 32), 32-bit words, frequencies that sum to 1 << PRECISION.
 PRECISION, LOW = 20, np.uint64(1 << 31)
 WORD, MASK = np.uint64(32), np.uint64((1 << 32) - 1)
-LANES, CHECKPOINT_STEPS = 1024, 128
-BLOCK_TOKENS = 1 << 18
+LANES, CHECKPOINT_STEPS = 1024, 64
+BLOCK_TOKENS = 96 << 10  # a row of its ids stays below half a region of a small JVM heap
 HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, steps between checkpoints, words, crc32
 MAGIC = b"RNS1"
 
 NEW_CHUNKS = 2_048  # tokenised together
+KNOWN_BYTES = 24 << 20  # of a generation of remembered chunks
+GROUP_CHARS = 1 << 20  # of texts tokenised together
+LETTERS = 0x530  # Latin, Greek and Cyrillic; words of other letters are split by the tokenizer
 
 DRAFT = ("part int, block long, start long, doc_ids array<bigint>, sizes array<int>, "
          "crcs array<bigint>, ids binary")
@@ -159,9 +162,11 @@ class CodedBlock:
 class ChunkTokenizer:
     """Encodes texts by a tokenizer of the tokenizers library, as little-endian 32-bit integers.
 
-    New words are given to it many at a time, one to a line: the splitting pattern sets a line end
-    between words apart, so its id tells where each word's ids end. A text that holds an added token
-    is given to it whole, as white space beside the token splits differently in chunks.
+    A new word of letters only is one piece by the splitting pattern, so it goes to the library's
+    model at once, which spares the splitting. Other new words are given to the tokenizer many at a
+    time, one to a line: the splitting pattern sets a line end between words apart, so its id tells
+    where each word's ids end. A text that holds an added token is given to it whole, as white
+    space beside the token splits differently in chunks.
     """
 
     def __init__(self, definition: str, added_tokens: bool = False):
@@ -175,7 +180,9 @@ class ChunkTokenizer:
         self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
         # A token with a line end in it could be made by putting words one to a line.
         self.line_end = array("I") if "\n" in "".join(contents) else self._ids("\n")
-        self.memory = ChunkMemory(self._learn, NEW_CHUNKS)
+        self.model = self.tokenizer.model
+        self.letters, self.plain = _letters(self.tokenizer)
+        self.memory = ChunkMemory(self._learn, NEW_CHUNKS, KNOWN_BYTES)
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """What each whole text encodes to; a null text is the empty one."""
@@ -190,6 +197,21 @@ class ChunkTokenizer:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
+        if self.plain is None:
+            return self._learn_split(chunks)
+        plain, letters, tokenize = self.plain.fullmatch, self.letters, self.model.tokenize
+        coded: list[bytes | None] = []
+        for chunk in chunks:
+            if plain(chunk):
+                coded.append(array("I", [token.id for token in tokenize(chunk.translate(letters))]).tobytes())
+            else:
+                coded.append(None)
+        others = iter(self._learn_split([chunk for chunk, code in zip(chunks, coded) if code is None]))
+        return [next(others) if code is None else code for code in coded]
+
+    def _learn_split(self, chunks: list[str]) -> list[bytes]:
+        if not chunks:
+            return []
         plain = list(map(is_word, chunks)) if len(self.line_end) == 1 else [False] * len(chunks)
         lines = "\n".join(chunk for chunk, word in zip(chunks, plain) if word) + "\n"
         found = self.tokenizer.encode_batch_fast(
@@ -203,6 +225,22 @@ class ChunkTokenizer:
         return [next(words) if word else next(others) for word in plain]
 
 
+def _letters(tokenizer) -> tuple[dict[int, str], re.Pattern | None]:
+    """What the splitter writes for a space and for each letter below LETTERS, and the words it
+    surely leaves in one piece; no such words where it isn't the byte-level one with its pattern.
+    """
+    splitter = tokenizer.pre_tokenizer
+    if (tokenizer.normalizer is not None or type(splitter).__name__ != "ByteLevel"
+            or splitter.add_prefix_space or not splitter.use_regex):
+        return {}, None
+    split = splitter.pre_tokenize_str
+    written = {ord(" "): split(" ")[0][0]}
+    for letter in filter(str.isalpha, map(chr, range(LETTERS))):
+        if len(split(f" a{letter}a")) == 1:
+            written[ord(letter)] = split(letter)[0][0]
+    return written, re.compile(f" ?[{''.join(map(chr, list(written)[1:]))}]+")
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(definition: str, added_tokens: bool = False) -> ChunkTokenizer:
     return ChunkTokenizer(definition, added_tokens)

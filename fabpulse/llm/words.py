@@ -74,8 +74,9 @@ class ChunkMemory:
     spaces, are encoded anew for each group of texts.
     """
 
-    def __init__(self, learn: Callable[[list[str]], Iterable[bytes]], at_once: int):
-        self.learn, self.at_once = learn, at_once
+    def __init__(self, learn: Callable[[list[str]], Iterable[bytes]], at_once: int,
+                 known_bytes: int | None = None):
+        self.learn, self.at_once, self.known_bytes = learn, at_once, known_bytes or KNOWN_BYTES
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.held = 0
@@ -94,25 +95,20 @@ class ChunkMemory:
         return found + self._group(group)
 
     def _group(self, parts: list[list[str]]) -> list[bytes]:
-        if len(self.known) > KNOWN_CHUNKS or self.held > KNOWN_BYTES:
+        if len(self.known) > KNOWN_CHUNKS or self.held > self.known_bytes:
             # What no text asks for again is forgotten.
             self.known, self.older, self.held = {}, self.known, 0
-        first = [list(map(self.known.get, part)) for part in parts]
-        new: set[str] = set()
-        for part, codes in zip(parts, first):
-            if None in codes:
-                new.update(chunk for chunk, code in zip(part, codes) if code is None)
-        found = {chunk: self.older[chunk] for chunk in new if chunk in self.older}
-        waiting = [chunk for chunk in new if chunk not in self.older]
+        known, older = self.known, self.older
+        new = set().union(*parts).difference(known)
+        found = {chunk: older[chunk] for chunk in filter(older.__contains__, new)}
+        waiting = list(new.difference(found))
         for low in range(0, len(waiting), self.at_once):
             some = waiting[low:low + self.at_once]
             found.update(zip(some, self.learn(some)))
-        for part, codes in zip(parts, first):
-            if None in codes:
-                codes[:] = [found[chunk] if code is None else code for chunk, code in zip(part, codes)]
-        if len(found) and max(map(len, found)) > LONGEST_KNOWN:
-            found = {chunk: code for chunk, code in found.items() if len(chunk) <= LONGEST_KNOWN}
-        self.known.update(found)
+        known.update(found)
+        coded = [b"".join(map(known.__getitem__, part)) for part in parts]
+        for chunk in [chunk for chunk in found if len(chunk) > LONGEST_KNOWN]:
+            del known[chunk], found[chunk]
         self.held += (4 * sum(map(len, found)) + sum(map(len, found.values()))
                       + ENTRY_BYTES * len(found))
-        return [b"".join(codes) for codes in first]
+        return coded
