@@ -39,7 +39,7 @@ from fabpulse.llm.words import ChunkMemory, is_word
 # The coder: states in [LOW, LOW << 32), 32-bit words, frequencies that sum to 1 << PRECISION.
 PRECISION, LOW = 20, np.uint64(1 << 31)
 WORD, MASK = np.uint64(32), np.uint64((1 << 32) - 1)
-LANES, CHECKPOINT_STEPS = 1024, 64
+LANES, CHECKPOINT_STEPS = 512, 128
 BLOCK_TOKENS = 96 << 10  # a row of its ids stays below half a region of a small JVM heap
 HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, steps between checkpoints, words, crc32
 MAGIC = b"RNS1"
