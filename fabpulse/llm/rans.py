@@ -24,6 +24,7 @@ import re
 import struct
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -34,11 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabpulse.llm.scratch import stored
-from fabpulse.llm.words import ChunkMemory, is_word
+from fabpulse.llm.words import CUT, ChunkMemory, is_word, marked
 
 # The coder: states in [LOW, LOW << 32), 32-bit words, frequencies that sum to 1 << PRECISION.
 PRECISION, LOW = 20, np.uint64(1 << 31)
-WORD, MASK = np.uint64(32), np.uint64((1 << 32) - 1)
+WORD = np.uint64(32)
 LANES, CHECKPOINT_STEPS = 512, 128
 BLOCK_TOKENS = 96 << 10  # a row of its ids stays below half a region of a small JVM heap
 HEADER = struct.Struct("<4sIIIII")  # magic, ids, lanes, steps between checkpoints, words, crc32
@@ -47,7 +48,7 @@ MAGIC = b"RNS1"
 NEW_CHUNKS = 2_048  # tokenised together
 KNOWN_BYTES = 24 << 20  # of a generation of remembered chunks
 GROUP_CHARS = 1 << 20  # of texts tokenised together
-LETTERS = 0x530  # Latin, Greek and Cyrillic; words of other letters are split by the tokenizer
+LETTERS = "\u0530"  # Latin, Greek and Cyrillic; words of other letters are split by the tokenizer
 
 DRAFT = ("part int, block long, start long, doc_ids array<bigint>, sizes array<int>, "
          "crcs array<bigint>, ids binary")
@@ -94,19 +95,22 @@ def encode_block(ids: np.ndarray, table: Table) -> bytes:
     words: list[np.ndarray] = []
     marks: list[tuple[int, bytes]] = []
     written = 0
-    limit = np.uint64(31 - PRECISION + 32)
+    wides, lows = table.wide[ids], table.low[ids]
+    tops, rests = wides << np.uint64(31 - PRECISION + 32), np.uint64(1 << PRECISION) - wides
     for step in range(steps - 1, -1, -1):
-        now = ids[step * lanes:(step + 1) * lanes]
-        wide, low = table.wide[now], table.low[now]
-        own = state[:len(now)]
-        full = own >= (wide << limit)
-        if full.any():
+        now = slice(step * lanes, min((step + 1) * lanes, len(ids)))
+        own = state[:now.stop - now.start]
+        full = np.flatnonzero(own >= tops[now])
+        if len(full):
             out = own[full]
-            words.append((out & MASK).astype("<u4"))
+            words.append(out.astype("<u4"))  # its lower half
             written += len(out)
             own[full] = out >> WORD
-        times = own // wide
-        own[:] = (times << np.uint64(PRECISION)) + (own - times * wide) + low
+        # The quotient is shifted, the remainder stays: (own // wide << PRECISION) + own % wide + low.
+        times = own // wides[now]
+        times *= rests[now]
+        own += times
+        own += lows[now]
         if step % CHECKPOINT_STEPS == 0:
             marks.append((written, state.astype("<u8").tobytes()))
     body = b"".join(struct.pack("<I", written - count) + states for count, states in reversed(marks))
@@ -144,12 +148,14 @@ class CodedBlock:
             slot = own & mask
             now = table.slots[slot]
             out[put:put + len(own)] = now
-            own[:] = table.wide[now] * (own >> precision) + slot - table.low[now]
-            short = own < LOW
-            count = int(np.count_nonzero(short))
-            if count:
-                own[short] = (own[short] << WORD) | self.words[at:at + count]
-                at += count
+            own >>= precision
+            own *= table.wide[now]
+            slot -= table.low[now]
+            own += slot
+            short = np.flatnonzero(own < LOW)
+            if len(short):
+                own[short] = (own[short] << WORD) | self.words[at:at + len(short)]
+                at += len(short)
         if last == self.steps and (at != len(self.words) or (state != LOW).any()):
             raise ValueError("a block does not end where it should")
         return out
@@ -181,29 +187,52 @@ class ChunkTokenizer:
         # A token with a line end in it could be made by putting words one to a line.
         self.line_end = array("I") if "\n" in "".join(contents) else self._ids("\n")
         self.model = self.tokenizer.model
-        self.letters, self.plain = _letters(self.tokenizer)
+        self.written, self.odd = _letters(self.tokenizer)
         self.memory = ChunkMemory(self._learn, NEW_CHUNKS, KNOWN_BYTES)
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """What each whole text encodes to; a null text is the empty one."""
-        texts = list(texts)
-        if self.added is None:
-            return self.memory.encode(texts)
-        whole = [self.added.search(text or "") is not None for text in texts]
-        cut = iter(self.memory.encode(text for text, kept in zip(texts, whole) if not kept))
+        texts = [text or "" for text in texts]
+        whole = [CUT in text or (self.added is not None and self.added.search(text) is not None) for text in texts]
+        cut = iter(self._encode_cut([text for text, kept in zip(texts, whole) if not kept]))
         return [self._ids(text).tobytes() if kept else next(cut) for text, kept in zip(texts, whole)]
 
+    def _encode_cut(self, texts: list[str]) -> list[bytes]:
+        """By chunks, each distinct one looked up once."""
+        if not texts:
+            return []
+        cuts = list(map(marked, texts))
+        joined = CUT.join(cuts).encode()
+        ends = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0)
+        letters = joined.replace(CUT.encode(), b"")
+        offsets = np.concatenate([[0], ends - np.arange(len(ends)), [len(letters)]]).astype(np.int64)
+        coded = pa.LargeStringArray.from_buffers(
+            len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+        known = self.memory.codes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        places = coded.indices.to_numpy()
+        counts = sizes[places]
+        after = np.cumsum(counts)
+        # Where a chunk's ids begin among the known ones, less where they begin in the texts.
+        shift = (np.cumsum(sizes) - sizes)[places] - after + counts
+        found = ids[np.repeat(shift, counts) + np.arange(after[-1])].tobytes()
+        bounds = [0, *(4 * after[np.cumsum([cut.count(CUT) + 1 for cut in cuts]) - 1]).tolist()]
+        return [found[low:high] for low, high in zip(bounds, bounds[1:])]
+
     def _ids(self, text: str) -> array:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
-        if self.plain is None:
+        if not self.written:
             return self._learn_split(chunks)
-        plain, letters, tokenize = self.plain.fullmatch, self.letters, self.model.tokenize
+        written, odd, tokenize = self.written, self.odd, self.model.tokenize
         coded: list[bytes | None] = []
         for chunk in chunks:
-            if plain(chunk):
-                coded.append(array("I", [token.id for token in tokenize(chunk.translate(letters))]).tobytes())
+            word = chunk[1:] if chunk[:1] == " " else chunk
+            if word.isalpha() and (word.isascii() or max(word) < LETTERS) and not (odd and odd.intersection(word)):
+                letters = charmap_decode(chunk.encode(), "strict", written)[0]
+                coded.append(array("I", [token.id for token in tokenize(letters)]).tobytes())
             else:
                 coded.append(None)
         others = iter(self._learn_split([chunk for chunk, code in zip(chunks, coded) if code is None]))
@@ -225,20 +254,22 @@ class ChunkTokenizer:
         return [next(words) if word else next(others) for word in plain]
 
 
-def _letters(tokenizer) -> tuple[dict[int, str], re.Pattern | None]:
-    """What the splitter writes for a space and for each letter below LETTERS, and the words it
-    surely leaves in one piece; no such words where it isn't the byte-level one with its pattern.
+def _letters(tokenizer) -> tuple[str, set[str]]:
+    """What the splitter writes for each byte, and the letters below LETTERS that it may split a word at;
+    nothing where it isn't the byte-level one with its pattern.
     """
     splitter = tokenizer.pre_tokenizer
     if (tokenizer.normalizer is not None or type(splitter).__name__ != "ByteLevel"
             or splitter.add_prefix_space or not splitter.use_regex):
-        return {}, None
+        return "", set()
     split = splitter.pre_tokenize_str
-    written = {ord(" "): split(" ")[0][0]}
-    for letter in filter(str.isalpha, map(chr, range(LETTERS))):
+    written, odd = {ord(" "): split(" ")[0][0]}, set()
+    for letter in filter(str.isalpha, map(chr, range(ord(LETTERS)))):
         if len(split(f" a{letter}a")) == 1:
-            written[ord(letter)] = split(letter)[0][0]
-    return written, re.compile(f" ?[{''.join(map(chr, list(written)[1:]))}]+")
+            written.update(zip(letter.encode(), split(letter)[0][0]))
+        else:
+            odd.add(letter)
+    return "".join(written.get(byte, "\ufffe") for byte in range(256)), odd
 
 
 @lru_cache(maxsize=2)

@@ -21,7 +21,7 @@ _SPACE = "\\s\x85\u180e\u200b\ufeff"
 _UNSAFE_SPACE = re.compile(f" (?:[{_SPACE}]|$)")
 _UNSAFE_LINE = re.compile(f"\n(?:(?<=[{_SPACE}]\n)|(?=[{_SPACE}]|$))")
 _UNSAFE_STOP = re.compile(r"[.,](?<![^\W_][.,])")
-_CUT = "\0"
+CUT = "\0"
 _WORD = re.compile(f" ?[^{_SPACE}]+")
 
 
@@ -43,8 +43,11 @@ def chunks(text: str) -> list[str]:
     space is next to it; a single line end stands alone; and a run of letters or digits ends
     before a stop or comma. Texts in which one of these is not clear are not cut there.
     """
-    if _CUT in text:
-        return [text]
+    return [text] if CUT in text else list(filter(None, marked(text).split(CUT)))
+
+
+def marked(text: str) -> str:
+    """A text without CUT, with CUT between its chunks (and in places twice, or at an edge)."""
     cut = text
     if "\n" in text and not _UNSAFE_LINE.search(text):
         cut = cut.replace("\n", "\0\n\0")
@@ -54,7 +57,7 @@ def chunks(text: str) -> list[str]:
         cut = cut.replace(" ", "\0 ")
     else:
         cut = _single_spaces(cut)
-    return list(filter(None, cut.split(_CUT)))
+    return cut
 
 
 def _single_spaces(text: str) -> str:
@@ -62,7 +65,7 @@ def _single_spaces(text: str) -> str:
     first, *rest = text.split(" ")
     marked = [first]
     for piece in rest:
-        safe = not _UNSAFE_SPACE.match(" " + piece.lstrip(_CUT)[:1])
+        safe = not _UNSAFE_SPACE.match(" " + piece.lstrip(CUT)[:1])
         marked.append(("\0 " if safe else " ") + piece)
     return "".join(marked)
 
@@ -94,10 +97,35 @@ class ChunkMemory:
                 group, size = [], 0
         return found + self._group(group)
 
-    def _group(self, parts: list[list[str]]) -> list[bytes]:
+    def _forget(self) -> None:
+        """What no text asks for again goes, once a generation is full."""
         if len(self.known) > KNOWN_CHUNKS or self.held > self.known_bytes:
-            # What no text asks for again is forgotten.
             self.known, self.older, self.held = {}, self.known, 0
+
+    def codes(self, chunks: list[str]) -> list[bytes]:
+        """What each of some distinct chunks encodes to."""
+        self._forget()
+        known, older = self.known, self.older
+        coded = list(map(known.get, chunks))
+        asked = [at for at, code in enumerate(coded) if code is None]
+        new = []
+        for at in asked:
+            code = coded[at] = older.get(chunks[at])
+            if code is None:
+                new.append(at)
+        for low in range(0, len(new), self.at_once):
+            some = new[low:low + self.at_once]
+            for at, code in zip(some, self.learn([chunks[at] for at in some])):
+                coded[at] = code
+        for at in asked:
+            chunk, code = chunks[at], coded[at]
+            if len(chunk) <= LONGEST_KNOWN:
+                known[chunk] = code
+                self.held += 4 * len(chunk) + len(code) + ENTRY_BYTES
+        return coded
+
+    def _group(self, parts: list[list[str]]) -> list[bytes]:
+        self._forget()
         known, older = self.known, self.older
         new = set().union(*parts).difference(known)
         found = {chunk: older[chunk] for chunk in filter(older.__contains__, new)}

@@ -150,3 +150,15 @@ def test_without_ids_the_same_documents(llm, documents, tmp_path):
     full, plain = rans.read_store(llm, path), rans.read_store(llm, path, with_ids=False)
     assert plain.columns == full.columns[:-1] == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(plain.collect(), key=repr) == sorted(full.drop("ids").collect(), key=repr)
+
+
+def test_each_distinct_chunk_is_looked_up_once(monkeypatch):
+    tokenizer = rans.ChunkTokenizer(DEFINITION, True)
+    asked, codes = [], tokenizer.memory.codes
+    monkeypatch.setattr(tokenizer.memory, "codes", lambda chunks: asked.append(chunks) or codes(chunks))
+    texts = ["the cat, the été\nthe \x00 dog", "the cat the cat. " * 50, "", None, "the  cat\n\n", " the ñandú日"]
+    for _ in range(2):
+        found = tokenizer.encode(texts)
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [
+            TOKENIZER.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(asked) == 2 and all(len(set(chunks)) == len(chunks) for chunks in asked)
